@@ -32,14 +32,11 @@ STYLE_PATHS = ("CONTRIBUTING.md", ".github/CONTRIBUTING.md", "STYLEGUIDE.md")
 TEXT_FIELDS = ("commit_msg", "change", "recent_commits_message", "code_style")
 
 # --- fixed values: subject patterns -------------------------------------------
-MERGE_SUBJECT = r"^[Mm]erge[\s\x1c-\x1f]"
-REVERT_SUBJECT = r"^[Rr]evert[\s\x1c-\x1f]"
-NOISE_PREFIXES = ("squash!", "fixup!")
+NOISE_SUBJECT = r"^(?:[Mm]erge\s|[Rr]evert\s|squash!|fixup!)"
 BOT_AUTHOR = r"\b(?:bot|robot)\b|\[bot\]"
-ISSUE_PHRASE = r"\b(?:fixes|closes|resolves|related|addresses?)[\s\x1c-\x1f]*#[0-9]+\b"
-ISSUE_IN_PARENTHESES = r"[\s\x1c-\x1f]*\(#[0-9]+\)"
+ISSUE_PHRASE = r"\b(?:fixes|closes|resolves|related|addresses?)\s*#[0-9]+\b"
+ISSUE_IN_PARENTHESES = r"\s*\(#[0-9]+\)"
 ISSUE_GLUED = r"\b#[0-9]+\b"
-WHITESPACE_RUN = r"[\s\x1c-\x1f]+"
 SUBJECT_PUNCTUATION = ".,;:!?"
 
 # --- fixed values: code points that count as surrounding whitespace ------------

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from commitloom import fixed_values as fv
 
 _WHITESPACE = "".join(map(chr, fv.WHITESPACE_CODE_POINTS))
+_WHITESPACE_CLASS = "".join(rf"\x{{{point:X}}}" for point in fv.WHITESPACE_CODE_POINTS)
+# Runs to collapse: all but a lone plain space, which would only be replaced by itself.
+_WHITESPACE_RUN = f"[{_WHITESPACE_CLASS}]{{2,}}|[{_WHITESPACE_CLASS}&&[^ ]]"
 
 
 def py_strip(text: Column) -> Column:
@@ -22,29 +25,45 @@ def first_line(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
 
 
+def subject_line(message: Column) -> Column:
+    """First line of the stripped message, stripped itself."""
+    return py_strip(first_line(F.ltrim(message, F.lit(_WHITESPACE))))
+
+
 def truncate_marked(text: Column, size: int) -> Column:
     """Cut to ``size`` code points and say so; shorter text is unchanged."""
     cut = F.concat(F.substring(text, 1, size), F.lit(fv.TRUNCATION_MARKER))
     return F.when(F.length(text) > size, cut).otherwise(text)
 
 
-def clean_message(message: Column) -> Column:
-    """Subject line without issue references and outer punctuation; null becomes empty.
+def unicode_pattern(pattern: str, ignore_case: bool = False) -> str:
+    """Java form of a pattern: word borders and ``\\s`` as Unicode has them, separators U+001C-1F included."""
+    flags = "(?iuU)" if ignore_case else "(?U)"
+    return flags + pattern.replace(r"\s", f"[{_WHITESPACE_CLASS}]")
 
-    ``(?U)`` gives Java's ``\\b`` and ``\\s`` their Unicode meaning.
-    """
-    subject = py_strip(first_line(py_strip(F.coalesce(message, F.lit("")))))
-    removals = (
-        "(?iuU)" + fv.ISSUE_PHRASE,
-        "(?U)" + fv.ISSUE_IN_PARENTHESES,
-        "(?U)" + fv.ISSUE_GLUED,
-    )
-    for pattern in removals:
-        subject = F.regexp_replace(subject, pattern, "")
-    subject = F.regexp_replace(subject, "(?U)" + fv.WHITESPACE_RUN, " ")
+
+def clean_message(message: Column) -> Column:
+    """Subject line without issue references and outer punctuation; null becomes empty."""
+    subject = subject_line(F.coalesce(message, F.lit("")))
+    without = F.regexp_replace(subject, unicode_pattern(fv.ISSUE_PHRASE, ignore_case=True), "")
+    without = F.regexp_replace(without, unicode_pattern(fv.ISSUE_IN_PARENTHESES), "")
+    without = F.regexp_replace(without, unicode_pattern(fv.ISSUE_GLUED), "")
+    # Few subjects name an issue; the others skip three searches.
+    subject = F.when(F.contains(subject, F.lit("#")), without).otherwise(subject)
+    subject = F.regexp_replace(subject, _WHITESPACE_RUN, " ")
     return F.btrim(py_strip(subject), F.lit(fv.SUBJECT_PUNCTUATION))
 
 
+def is_noise(message: Column) -> Column:
+    """Merge, revert, squash and fixup subjects; a null message is none of them."""
+    return py_strip(F.coalesce(message, F.lit(""))).rlike(unicode_pattern(fv.NOISE_SUBJECT))
+
+
+def is_bot(author: Column) -> Column:
+    """The whole word bot or robot, or the literal ``[bot]``; null is neither."""
+    return F.coalesce(author, F.lit("")).rlike(unicode_pattern(fv.BOT_AUTHOR, ignore_case=True))
+
+
 def unicode_normalize(text: Column, form: str = "NFC") -> Column:
     """Unicode normalisation: the one function Spark has no built-in for.
 

@@ -1,0 +1,61 @@
+"""Prompt and target pairs, counters."""
+
+from commitloom.operators import samples
+
+SCHEMA = (
+    "i int, commit_msg string, change string, recent_commits_message string, license string, "
+    "code_style string, affected_files array<string>"
+)
+ROWS = [
+    (1, " Add thing ", " diff ", "a\nb\n", "MIT", " style ", ["x.py", "y.py"]),
+    (2, "Fix", None, None, "MIT", None, None),
+    (3, "Fix", "", "", "MIT", " \n", []),
+    (4, " ab ", "d", "r", "MIT", "s", ["x"]),
+    (5, None, "d", "r", "MIT", "s", ["x"]),
+]
+
+
+def test_prompts(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    got = {r["i"]: (r["prompt"], r["target"]) for r in samples.format_prompt(df, instruction="Do.\n").collect()}
+    assert got == {
+        1: (
+            "Do.\nAffected files: x.py, y.py\nDiff (code changes): diff\nRecent commit examples: a\nb\n"
+            "Code style guidelines: style\nCommit message:",
+            "Add thing",
+        ),
+        2: (
+            "Do.\nAffected files: (none)\nDiff (code changes): (none)\nRecent commit examples: (none)\n"
+            "Code style guidelines: (not specified)\nCommit message:",
+            "Fix",
+        ),
+        3: (
+            "Do.\nAffected files: (none)\nDiff (code changes): \nRecent commit examples: \n"
+            "Code style guidelines: (not specified)\nCommit message:",
+            "Fix",
+        ),
+    }
+
+
+def test_columns_and_length_gate(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    assert samples.format_prompt(df).columns == ["i", "prompt", "target"]
+    bare = samples.format_prompt(df, instruction=None, min_length=0).collect()
+    assert sorted(r["i"] for r in bare) == [1, 2, 3, 4]
+    assert all(r["prompt"].startswith("Affected files: ") for r in bare)
+    assert sorted(r["i"] for r in samples.min_length(df, "commit_msg", 4).collect()) == [1]
+
+
+def test_counters(spark, tmp_path):
+    from commitloom.functions.text import long_enough
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    counted, seen = samples.with_counters(df, "run", written=long_enough(F.col("commit_msg")))
+    samples.format_prompt(counted).write.json(str(tmp_path / "out"))
+    assert seen.get == {"parsed": 5, "written": 3}
+
+
+def test_count_by_repo(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "repo string")
+    assert {r["repo"]: r["n_rows"] for r in samples.count_by_repo(df).collect()} == {"a": 2, "b": 1}

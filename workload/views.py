@@ -8,7 +8,17 @@ from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table.
+
+    A small file of one row group is read by one task, which is slow where its
+    text is worked on; such a table is spread when the scan has fewer tasks
+    than there are cores, which a large one never has.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in ("documents", "pages", "conversations") and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _repo(owner: Column) -> Column:
