@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -10,10 +11,25 @@ from pyspark.sql import functions as F
 
 from commitloom import fixed_values as fv
 
+
+def _ranges(ranges: Iterable[tuple[int, int]]) -> str:
+    """Inside of a character class; ranges that follow on each other become one."""
+    merged: list[list[int]] = []
+    for low, high in sorted(ranges):
+        if merged and low <= merged[-1][1] + 1:
+            merged[-1][1] = max(high, merged[-1][1])
+        else:
+            merged.append([low, high])
+    return "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in merged)
+
+
 _WHITESPACE = "".join(map(chr, fv.WHITESPACE_CODE_POINTS))
-_WHITESPACE_CLASS = "".join(rf"\x{{{point:X}}}" for point in fv.WHITESPACE_CODE_POINTS)
-# Runs to collapse: all but a lone plain space, which would only be replaced by itself.
-_WHITESPACE_RUN = f"[{_WHITESPACE_CLASS}]{{2,}}|[{_WHITESPACE_CLASS}&&[^ ]]"
+_WHITESPACE_CLASS = _ranges((point, point) for point in fv.WHITESPACE_CODE_POINTS)
+# Runs to collapse: all but a lone plain space, which would only be replaced by
+# itself.  Visible ASCII is ruled out first, as that is nearly all there is.
+_WHITESPACE_RUN = (
+    rf"(?![\x21-\x7E])(?: [{_WHITESPACE_CLASS}]+|[{_WHITESPACE_CLASS}&&[^ ]][{_WHITESPACE_CLASS}]*)"
+)
 
 
 def py_strip(text: Column) -> Column:
@@ -87,9 +103,15 @@ def to_halfwidth(text: Column) -> Column:
 
 
 def strip_unlisted_chars(text: Column, extra_ranges: tuple[tuple[int, int], ...] = ()) -> Column:
-    """Delete every code point outside the kept ranges."""
-    kept = "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in (*fv.KEPT_RANGES, *extra_ranges))
-    return F.regexp_replace(text, f"[^{kept}]", "")
+    """Delete every code point outside the kept ranges.
+
+    The kept ASCII is ruled out first: on most text that decides nearly every
+    character without a look at the long list of ranges.
+    """
+    kept = [*fv.KEPT_RANGES, *extra_ranges]
+    ascii_kept = _ranges(r for r in kept if r[1] < 0x80)
+    other_kept = _ranges(r for r in kept if r[1] >= 0x80)
+    return F.regexp_replace(text, f"[[^{ascii_kept}]&&[^{other_kept}]]+", "")
 
 
 def unify_newlines(text: Column) -> Column:

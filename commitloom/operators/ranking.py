@@ -18,28 +18,36 @@ from commitloom.session import settle
 ONE_TASK_ROWS = 200_000
 
 
-def top_n_per_group(
+def shortlist(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[Column],
     n: int,
     spread_by: Sequence[str],
-    position: str = "position",
     slices: int = 128,
 ) -> DataFrame:
-    """First ``n`` rows of every group, numbered from 1 in ``position``.
+    """All rows that can be among the first ``n`` of their group, ``slices * n`` per group at most.
 
-    A group is cut into hash slices of ``spread_by`` first; each slice gives up
-    all but its own first ``n`` rows, so the task that ranks a whole group
-    meets at most ``slices * n`` of them, however large the group was.
+    A group is cut into hash slices of ``spread_by``, and each slice gives up
+    all but its own first ``n`` rows, before the shuffle where it can.
     """
     sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int"))
     in_slice = Window.partitionBy(*group, "_slice").orderBy(*order)
+    return sliced.withColumn("_place", F.row_number().over(in_slice)).filter(F.col("_place") <= n).drop("_slice", "_place")
+
+
+def top_n_per_group(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    spread_by: Sequence[str],
+    position: str = "position",
+) -> DataFrame:
+    """First ``n`` rows of every group, numbered from 1 in ``position``."""
     in_group = Window.partitionBy(*group).orderBy(*order)
     return (
-        sliced.withColumn(position, F.row_number().over(in_slice))
-        .filter(F.col(position) <= n)
-        .drop("_slice")
+        shortlist(df, group, order, n, spread_by)
         .withColumn(position, F.row_number().over(in_group))
         .filter(F.col(position) <= n)
         .withColumn(position, F.col(position).cast("long"))

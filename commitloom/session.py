@@ -7,11 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Per-group limits up to this many rows are applied before the shuffle as well.
+# Gathered diffs are bounded, so a task may hold this many before it turns to sorting.
 _SETTINGS = {
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
     "spark.sql.session.timeZone": "UTC",
 }
 
