@@ -221,8 +221,9 @@ def affected_files(spark, sf_dir):
 def diff_of_kept_commits(spark, sf_dir):
     """Diffs of chosen commits only; those without a patch get an empty one."""
     kept = history.drop_merges(views.commits(spark, sf_dir))
+    kept = kept.select("commit_key")
     found = diffs.assemble_diffs(views.patches(spark, sf_dir), ["commit_key"], MAX_DIFF, commits=kept)
-    return found.withColumn("affected_files", F.array_join("affected_files", "|"))
+    return diffs.with_diffs(kept, found, ["commit_key"]).withColumn("affected_files", F.array_join("affected_files", "|"))
 
 
 @query
