@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from commitloom import fixed_values as fv
 from commitloom.operators.ranking import first_rows
+from commitloom.session import settle
 
 
 def filter_catalog(
@@ -47,11 +48,12 @@ def exclude_by_substring(
     string's length equals it.  So each distinct name is spread into its
     substrings of the lengths that occur and matched by equality, which Spark
     can hash, broadcast or shuffle by size; no name is compared with every
-    string.
+    string.  What matched is settled before it meets the rows, so that a name
+    with many copies can be split.
     """
     strings = exclusions.select("s").filter(F.col("s").isNotNull()).distinct()
     if exact:
-        return df.join(strings, df[column] == strings["s"], "left_anti")
+        return df.join(settle(strings.withColumnRenamed("s", column), "excluded"), column, "left_anti")
     lengths = strings.agg(F.sort_array(F.collect_set(F.length("s"))))
     name = F.col(column)
     pieces = F.flatten(
@@ -72,7 +74,7 @@ def exclude_by_substring(
         .select(column)
         .distinct()
     )
-    return df.join(matched, column, "left_anti")
+    return df.join(settle(matched, "excluded"), column, "left_anti")
 
 
 def split_by_integrity(repos: DataFrame, commits: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,8 +14,15 @@ from pyspark.sql.window import Window
 
 from commitloom.session import settle
 
-# Largest number of rows of one group that may meet in one task.
-ONE_TASK_ROWS = 200_000
+# Slices a group is cut into before it is ranked.
+SLICES = 128
+# Most rows of one group that may meet in one task.
+ONE_TASK_ROWS = 2_000_000
+
+
+def fits_one_task(n: int) -> bool:
+    """Whether what the slices of a group leave of it, ``n`` rows each, may meet in one task."""
+    return n * SLICES <= ONE_TASK_ROWS
 
 
 def shortlist(
@@ -24,14 +31,13 @@ def shortlist(
     order: Sequence[Column],
     n: int,
     spread_by: Sequence[str],
-    slices: int = 128,
 ) -> DataFrame:
-    """All rows that can be among the first ``n`` of their group, ``slices * n`` per group at most.
+    """All rows that can be among the first ``n`` of their group, ``SLICES * n`` per group at most.
 
     A group is cut into hash slices of ``spread_by``, and each slice gives up
     all but its own first ``n`` rows, before the shuffle where it can.
     """
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int"))
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*spread_by), F.lit(SLICES)).cast("int"))
     in_slice = Window.partitionBy(*group, "_slice").orderBy(*order)
     return sliced.withColumn("_place", F.row_number().over(in_slice)).filter(F.col("_place") <= n).drop("_slice", "_place")
 
@@ -86,6 +92,6 @@ def first_rows(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, spread_by: Sequence[str]
 ) -> DataFrame:
     """First ``n`` rows of every group with their ``position``, for any ``n``."""
-    if n <= ONE_TASK_ROWS:
+    if fits_one_task(n):
         return top_n_per_group(df, group, order, n, spread_by)
     return number_in_group(df, group, order).filter(F.col("position") <= n)
