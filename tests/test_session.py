@@ -1,0 +1,41 @@
+"""Where cut lineage goes."""
+
+from types import SimpleNamespace
+
+import pytest
+
+from commitloom import session
+
+
+class Context:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def fake(master, named=None, folder=None):
+    conf = SimpleNamespace(get=lambda name, default: named)
+    return SimpleNamespace(conf=conf, sparkContext=Context(master, folder))
+
+
+def test_the_named_folder_comes_first():
+    assert session.shared_folder(fake("spark://m", "hdfs://a/b", "hdfs://other")) == "hdfs://a/b"
+    assert session.shared_folder(fake("spark://m", None, "hdfs://other")) == "hdfs://other"
+
+
+def test_only_a_local_session_falls_back():
+    with pytest.raises(ValueError):
+        session.shared_folder(fake("spark://m"))
+    local = fake("local[4]")
+    assert session.shared_folder(local) == session.shared_folder(local)
+
+
+def test_settled_tables_lie_in_the_shared_folder(spark):
+    df = session.settle(spark.range(3), "three")
+    assert df.count() == 3
+    assert all(f"{spark.conf.get('spark.checkpoint.dir')}/commitloom/three-" in f for f in df.inputFiles())
