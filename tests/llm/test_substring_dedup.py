@@ -1,0 +1,65 @@
+import random
+import re
+
+from helpers import collected, documents, odd_rows
+
+from commitloom.llm import substring_dedup as sd
+
+
+def slow(rows, window):
+    words = [re.findall(r"[^\x20\x09-\x0D]+", text or "") for _, text, *_ in rows]
+    ids = [2**63 - 1 if row[0] is None else row[0] for row in rows]
+    first = {}
+    for d, ws in zip(ids, words):
+        for i in range(len(ws) - window + 1):
+            w = tuple(ws[i : i + window])
+            first[w] = min(first.get(w, d), d)
+    out = []
+    for row, d, ws in zip(rows, ids, words):
+        gone = set()
+        for i in range(len(ws) - window + 1):
+            if first[tuple(ws[i : i + window])] < d:
+                gone |= set(range(i, i + window))
+        out.append((str(row[0]), len(ws), len(gone), " ".join(w for i, w in enumerate(ws) if i not in gone)))
+    return sorted(out)
+
+
+def found(df, **options):
+    rows = collected(sd.drop_repeated_windows(df, with_text=True, **options))
+    changed = lambda r: r["kept_text"] if r["n_removed"] else None
+    return sorted((str(sd.shown_id and r["_id"]), r["n_words"], r["n_removed"], changed(r)) for r in rows)
+
+
+def expected(rows, window):
+    return sorted(
+        (str(2**63 - 1) if d == "None" else d, n, gone, kept if gone else None) for d, n, gone, kept in slow(rows, window)
+    )
+
+
+def test_cover_meets_every_difference():
+    for period in (2, 5, 7, 13, 21, 31, 40):
+        cover = sd.difference_cover(period)
+        assert {(a - b) % period for a in cover for b in cover} == set(range(period))
+    assert len(sd.difference_cover(31)) == 6
+
+
+def test_against_brute_force(llm):
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(90)]
+    rows = list(odd_rows())
+    for d in range(20, 60):
+        before = [f"d{d}_{i}" for i in range(rng.randint(0, 70))]
+        a, n = rng.randint(0, 40), rng.choice([30, 49, 50, 51, 60, 90])
+        rows.append((d, " ".join(before + passage[a : a + n] + [f"e{d}_{i}" for i in range(rng.randint(0, 9))])))
+    rows.append((60, " ".join(passage * 3)))
+    rows.append((61, "  ".join(passage) + "\n" + "\t".join(passage)))
+    assert found(documents(llm, rows)) == expected(rows, 50)
+    assert found(documents(llm, rows), window=12, period=7) == expected(rows, 12)
+    assert found(documents(llm, rows).limit(0)) == []
+
+
+def test_order_of_words_counts():
+    cover = sd.difference_cover(31)
+    one = sd.anchor_hashes(sd.joined_words(" ".join(f"a{i}" for i in range(80))), 50, cover, 31)
+    two = sd.anchor_hashes(sd.joined_words(" ".join(f"a{i ^ 1}" for i in range(80))), 50, cover, 31)
+    assert len(set(one.tolist())) == len(one) and not set(one.tolist()) & set(two.tolist())
