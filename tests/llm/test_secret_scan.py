@@ -1,0 +1,67 @@
+import hashlib
+import re
+from dataclasses import replace
+
+from helpers import collected, documents, odd_rows
+
+from commitloom.llm import secret_scan as ss
+from commitloom.session import fresh_path
+
+BASE = [
+    ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
+    ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20),
+    ("hex", re.compile("[0-9a-f]+"), 0, 24),
+]
+
+
+def slow(text):
+    text = text or ""
+    spans = sorted(
+        (m.start(), k, m.end(), name)
+        for k, (name, pattern, group, least) in enumerate(BASE)
+        for m in pattern.finditer(text)
+        if len(m.group(group)) >= least
+    )
+    listed = ",".join(f"{name}:{a}:{b}" for a, _, b, name in spans)
+    return (*[sum(s[3] == n for s in spans) for n, *_ in BASE], hashlib.sha256(listed.encode()).hexdigest())
+
+
+HEX = "0123456789abcdef" * 2
+ROWS = [
+    (20, f"é😀 token = '{HEX}' AKIA{'Z9' * 9} PASSWORD:abc"),
+    (21, "token=token:abcdefgh token=secret:abcdef api_key  =  \"x.y-z_1\" apikey=12345"),
+    (22, f"AKIAAKIA{'0' * 16} {HEX}{HEX}G{HEX[:23]} x{HEX[:24]}"),
+    (23, f"-----BEGIN RSA PRIVATE KEY----- ghp_{'z' * 36} xoxb-1234567890-abc token"),
+    (24, f"token = '{HEX}'\n" * 300),
+    (25, f"é😀 token = '{HEX}' AKIA{'Z9' * 9} PASSWORD:abc"),
+]
+
+
+def test_against_brute_force(llm):
+    rows = [*odd_rows(), *ROWS]
+    found = collected(ss.shown(ss.scan_secrets(documents(llm, rows), fresh_path(llm, "ledger"))))
+    got = sorted((str(r["doc_id"]), r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in found)
+    assert got == sorted((str(d), *slow(t)) for d, t, *_ in rows)
+    (spans,) = [r["spans"] for r in found if r["doc_id"] == 23]
+    assert spans == "private_key:0:31,github:32:72,slack:73:92"
+
+
+def test_only_unseen_pairs_are_scanned(llm):
+    path = fresh_path(llm, "ledger")
+    first = documents(llm, ROWS[:3])
+    ss.scan_secrets(first, path).count()
+    ledger = ss.open_ledger(llm, path)
+    assert ledger.count() == 3
+    found = collected(ss.shown(ss.scan_secrets(documents(llm, [*ROWS, (99, None)]), path)))
+    # One row for each new text: 25 repeats 20, and null is the empty text.
+    assert ss.open_ledger(llm, path).count() == 3 + 3
+    assert {r["doc_id"] for r in found if r["n_hex"]} == {20, 22, 24, 25}
+    newer = [replace(r, version=2, pattern="[0-9a-f]{40,}") if r.name == "hex" else r for r in ss.RULES]
+    again = collected(ss.shown(ss.scan_secrets(first, path, rules=newer), newer))
+    added = [r for r in collected(ss.open_ledger(llm, path)) if r["rules"] == ["hex@2"]]
+    assert len(added) == 3 and {r["doc_id"] for r in again if r["n_hex"]} == {22}
+
+
+def test_empty(llm):
+    path = fresh_path(llm, "ledger")
+    assert ss.scan_secrets(documents(llm, odd_rows()).limit(0), path).count() == 0
