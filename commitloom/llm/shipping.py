@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 import commitloom
 
+BATCH_ROWS = 1000
 _shipped: set[str] = set()
 
 
@@ -17,8 +18,10 @@ def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors through Spark, once per application.
 
     The archive is made on the driver and fetched from it; nothing else reads
-    it there.
+    it there.  Batches for Python are kept to ``BATCH_ROWS`` documents, so that a
+    worker's memory does not follow the length of texts.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = Path(commitloom.__file__).parent

@@ -110,14 +110,15 @@ def _candidates(n_words: int, anchors, window: int, cover: list[int], period: in
     return starts[starts <= n_words - window]
 
 
-def _window_hashes(joined: bytes, anchors, window: int, cover: list[int], period: int) -> list[dict]:
+def _window_hashes(joined: bytes, anchors, window: int, cover: list[int], period: int) -> tuple[np.ndarray, ...]:
+    """Starts of the candidate windows, and the two halves of their hashes."""
     starts, ends = _word_bounds(joined)
     found = _candidates(len(starts), anchors, window, cover, period)
     wide = xxhash.xxh3_128_digest
     spans = zip(starts[found].tolist(), ends[found + window - 1].tolist())
     digests = b"".join([wide(joined[a:b]) for a, b in spans])
     halves = np.frombuffer(digests, ">i8").astype(np.int64).reshape(-1, 2)
-    return [{"at": p, "h1": a, "h2": b} for p, (a, b) in zip(found.tolist(), halves.tolist())]
+    return found.astype(np.int32), halves[:, 0].copy(), halves[:, 1].copy()
 
 
 def _without(joined: bytes, removed, window: int) -> tuple[int, bytes]:
@@ -162,10 +163,10 @@ def drop_repeated_windows(
                 rows.append((n, hashlib.sha256(joined).hexdigest(), anchor_hashes(joined, window, cover, period)))
             yield pd.DataFrame(rows, columns=["n_words", "sha", "anchors"])
 
-    def windows_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def windows_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, anchors in batches:
-            found = (_window_hashes(joined_words(t), a, window, cover, period) for t, a in zip(texts, anchors))
-            yield pd.Series(list(found), dtype=object)
+            found = [_window_hashes(joined_words(t), a, window, cover, period) for t, a in zip(texts, anchors)]
+            yield pd.DataFrame(found, columns=["at", "h1", "h2"])
 
     def kept_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, removed in batches:
@@ -178,10 +179,10 @@ def drop_repeated_windows(
 
     pair = Iterator[tuple[pd.Series, pd.Series]]
     anchors_of.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    windows_of.__annotations__ = {"batches": pair, "return": Iterator[pd.Series]}
+    windows_of.__annotations__ = {"batches": pair, "return": Iterator[pd.DataFrame]}
     kept_of.__annotations__ = {"batches": pair, "return": Iterator[pd.DataFrame]}
     anchored = F.pandas_udf(anchors_of, "n_words long, sha string, anchors array<long>")
-    windowed = F.pandas_udf(windows_of, "array<struct<at: int, h1: long, h2: long>>")
+    windowed = F.pandas_udf(windows_of, "at array<int>, h1 array<long>, h2 array<long>")
     shortened = F.pandas_udf(kept_of, "n_removed long, sha string, kept_text string")
 
     key = ["_id", "_hash"]
@@ -205,7 +206,11 @@ def drop_repeated_windows(
     keyed = documents.select(*row_key(doc_id, text), F.col(text).alias("text"))
     # Rows equal in id and text are one here; their result is copied back at the end.
     touched = settle(keyed.join(settle(marked, "marked"), key), "marked-texts")
-    windows = touched.select(*key, F.explode(windowed("text", "_anchors")).alias("w")).select(*key, "w.*")
+    windows = (
+        touched.select(*key, windowed("text", "_anchors").alias("w"))
+        .select(*key, F.explode(F.arrays_zip("w.at", "w.h1", "w.h2")).alias("w"))
+        .select(*key, "w.*")
+    )
     repeated = settle(
         windows.groupBy("h1", "h2")
         .agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
