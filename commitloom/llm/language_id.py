@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import bisect
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +30,8 @@ SWITCH_PENALTY = 12.0
 # A language writes in a script when this share of its letters is in it.
 SCRIPT_SHARE = 0.01
 UNIT_LETTERS = 24
-CACHED_TOKENS = 200_000
+CACHED_TOKENS = 400_000
+WORDS_AT_ONCE = 20_000
 STEP_CELLS = 4_000_000
 
 # Blocks of the scripts, first and last code point.
@@ -62,6 +62,10 @@ OTHER_SCRIPT = "other"
 SCRIPT_NAMES = (*SCRIPTS, OTHER_SCRIPT)
 _BLOCKS = sorted((low, high, name) for name, blocks in SCRIPTS.items() for low, high in blocks)
 _LOWS = [low for low, _, _ in _BLOCKS]
+_SCRIPT_NUMBER = {name: number for number, name in enumerate(SCRIPT_NAMES)}
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+# What a letter's place in a word multiplies it by.
+_PLACES = np.multiply.accumulate(np.full(UNIT_LETTERS + 3, _MIX, np.uint64))
 _LETTERS = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"\S+")
 
@@ -89,12 +93,26 @@ def word_units(token: str) -> list[tuple[str, str]]:
     return [(s, part[i : i + UNIT_LETTERS]) for s, part in runs for i in range(0, len(part), UNIT_LETTERS)]
 
 
-def gram_buckets(word: str, buckets: int) -> list[int]:
-    """Hashed grams of two to four letters with the word's borders, and the whole word."""
-    framed = f"<{word}>"
-    grams = [framed[i : i + n] for n in (2, 3, 4) for i in range(len(framed) - n + 1)]
-    grams.append(f"={word}")
-    return [zlib.crc32(gram.encode("utf-8", "surrogatepass")) % buckets for gram in grams]
+def gram_buckets(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed grams of two to four letters with the word's borders, and each whole word; and the word of each."""
+    points = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = points.astype(np.uint64) + np.uint64(1)
+    lengths = np.array([len(w) + 2 for w in words], np.int64)
+    of_word, begins = np.repeat(np.arange(len(words)), lengths), np.cumsum(lengths) - lengths
+    hashes, owners = [], []
+    for n in (2, 3, 4):
+        whole = np.flatnonzero(of_word[: len(points) - n + 1] == of_word[n - 1 :])
+        rolled = np.full(len(whole), n, np.uint64)
+        for k in range(n):
+            rolled = rolled * _MIX + points[whole + k]
+        hashes.append(rolled)
+        owners.append(of_word[whole])
+    place = np.arange(len(points)) - np.repeat(begins, lengths)
+    hashes.append(np.add.reduceat(points * _PLACES[place], begins) if len(words) else np.zeros(0, np.uint64))
+    owners.append(np.arange(len(words)))
+    mixed = np.concatenate(hashes)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), np.concatenate(owners)
 
 
 @dataclass(frozen=True)
@@ -113,12 +131,15 @@ def _counted(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataF
             tokens: Counter[str] = Counter()
             for text in texts:
                 tokens.update(text.split())
+            units = [(script, word, times) for token, times in tokens.items() for script, word in word_units(token)]
             counts = np.zeros(buckets + len(SCRIPT_NAMES), np.int64)
-            for token, times in tokens.items():
-                for script, word in word_units(token):
-                    counts[buckets + SCRIPT_NAMES.index(script)] += times * len(word)
-                    for bucket in gram_buckets(word, buckets):
-                        counts[bucket] += times
+            for at in range(0, len(units), WORDS_AT_ONCE):
+                scripts, words, times = zip(*units[at : at + WORDS_AT_ONCE])
+                hashed, owners = gram_buckets(list(words), buckets)
+                times = np.array(times, np.int64)
+                counts[:buckets] += np.bincount(hashed, times[owners], buckets).astype(np.int64)
+                letters = times * np.array([len(w) for w in words])
+                np.add.at(counts, buckets + np.array([_SCRIPT_NUMBER[s] for s in scripts]), letters)
             found = np.flatnonzero(counts)
             yield pd.DataFrame({"lang": lang, "bucket": found, "n": counts[found]})
 
@@ -168,39 +189,52 @@ def train(
     return LanguageModel(langs, weights.astype(np.float32), dict(zip(SCRIPT_NAMES, uses)))
 
 
-class _WordScores(dict):
-    """Token to the row of its scores: -1 without letters, below -1 for a token of several words."""
+class _WordScores:
+    """Tokens and the rows of their scores: -1 without letters, below -1 for a token of several words."""
 
     def __init__(self, model: LanguageModel) -> None:
-        super().__init__()
-        self.model, self.rows, self.several = model, [], []
-
-    def _row(self, script: str, word: str) -> int:
-        model = self.model
-        scores = model.weights[gram_buckets(word, len(model.weights))].sum(0)
-        allowed = model.in_script.get(script)
-        if allowed is None or not allowed.any():
-            scores = np.zeros_like(scores)  # a script no language was seen in tells nothing
-        elif not allowed.all():
-            scores = np.where(allowed, scores, scores[allowed].min() - SWITCH_PENALTY)
-        self.rows.append(scores)
-        return len(self.rows) - 1
-
-    def __missing__(self, token: str) -> int:
-        rows = [self._row(script, word) for script, word in word_units(token)]
-        if len(rows) == 1:
-            found = rows[0]
-        elif not rows:
-            found = -1
-        else:
-            self.several.append(rows)
-            found = -1 - len(self.several)
-        self[token] = found
-        return found
-
-    def words(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        self.model, self.rows, self.several = model, {}, []
+        self.table, self.used = np.zeros((1024, len(model.langs)), np.float32), 0
+        n = len(model.langs)
+        self.allowed = np.stack([model.in_script.get(s, np.zeros(n, bool)) for s in SCRIPT_NAMES])
+
+    def _add(self, scripts: list[str], words: list[str]) -> None:
+        """Score new words, in the order given."""
+        weights = self.model.weights
+        hashed, owners = gram_buckets(words, len(weights))
+        scores = np.stack([np.bincount(owners, column[hashed], len(words)) for column in weights.T], axis=1)
+        allowed = self.allowed[[_SCRIPT_NUMBER[s] for s in scripts]]
+        lowest = np.where(allowed, scores, np.inf).min(1, keepdims=True)
+        # A script that no language was seen in tells nothing.
+        scores = np.where(allowed, scores, np.where(np.isinf(lowest), 0.0, lowest - SWITCH_PENALTY))
+        while self.used + len(words) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[self.used : self.used + len(words)] = scores
+        self.used += len(words)
+
+    def learn(self, tokens: set[str]) -> None:
+        fresh, scripts, words = [t for t in tokens if t not in self.rows], [], []
+        for token in fresh:
+            units = word_units(token)
+            at = self.used + len(words)
+            if len(units) == 1:
+                self.rows[token] = at
+            elif not units:
+                self.rows[token] = -1
+            else:
+                self.several.append(range(at, at + len(units)))
+                self.rows[token] = -1 - len(self.several)
+            scripts += [script for script, _ in units]
+            words += [word for _, word in units]
+            if len(words) >= WORDS_AT_ONCE:
+                self._add(scripts, words)
+                scripts, words = [], []
+        if words:
+            self._add(scripts, words)
+
+    def words(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Score row and token number of each word."""
-        found = np.array([self[token] for token in text.split()], np.int64)
+        found = np.fromiter(map(self.rows.__getitem__, tokens), np.int64, len(tokens))
         at = np.arange(len(found))
         if len(found) and found.min() < -1:
             many = [self.several[-2 - f] if f < -1 else (f,) for f in found.tolist()]
@@ -210,6 +244,31 @@ class _WordScores(dict):
         return found[kept], at[kept]
 
 
+def one_language(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+    """The best language of each text, and whether staying in it all along is the best path.
+
+    It is when no stretch of words gains more from any other languages than
+    one change costs: the largest sum over a stretch, of the best other
+    language's score less its own, settles that without a path.
+    """
+    begins = np.cumsum(lengths) - lengths
+    top = np.add.reduceat(scores, begins, axis=0, dtype=np.float64).argmax(1)
+    if scores.shape[1] == 1:
+        return top, np.ones(len(lengths), bool)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    at, own = np.arange(len(scores)), top[text]
+    others = scores.astype(np.float64)
+    others[at, own] = -np.inf
+    gain = others.max(1) - scores[at, own]
+    after = np.cumsum(gain)
+    after -= np.repeat(after[begins] - gain[begins], lengths)
+    before = after - gain
+    # Texts are set apart by a drop larger than all sums, so that a running minimum starts anew with each.
+    drop = text * (np.ptp(before) + 1.0)
+    lowest = np.minimum.accumulate(before - drop) + drop
+    return top, np.maximum.reduceat(after - lowest, begins) <= penalty
+
+
 def best_paths(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
     """Language of each word on the best path of its text.
 
@@ -256,27 +315,47 @@ def _spans(text: str, labels: np.ndarray, tokens: np.ndarray, langs: tuple[str,
 def _label_texts(texts: list[str | None], cache: _WordScores, penalty: float) -> list[tuple]:
     langs = cache.model.langs
     out: list[tuple] = [(UNDETERMINED, 0.0, [])] * len(texts)
-    worded = [(i, *cache.words(text)) for i, text in enumerate(texts) if text and langs]
+    if not langs:
+        return out
+    split = [text.split() if text else [] for text in texts]
+    cache.learn({token for tokens in split for token in tokens})
+    worded = [(i, *cache.words(tokens)) for i, tokens in enumerate(split)]
     worded = sorted((w for w in worded if len(w[1])), key=lambda w: -len(w[1]))
-    limit = max(1, STEP_CELLS // max(1, len(langs)))
-    while worded:
-        total, n = 0, 0
-        while n < len(worded) and (n == 0 or total + len(worded[n][1]) <= limit):
-            total += len(worded[n][1])
-            n += 1
-        group, worded = worded[:n], worded[n:]
-        rows = np.concatenate([found for _, found, _ in group])
-        used, rows = np.unique(rows, return_inverse=True)
-        scores = np.stack([cache.rows[i] for i in used])[rows]
-        lengths = np.array([len(found) for _, found, _ in group], np.int64)
-        labels = best_paths(scores, lengths, penalty)
+    limit = max(1, STEP_CELLS // len(langs))
+    mixed = []
+    for group in _groups(worded, limit):
+        lengths = np.array([len(rows) for _, rows, _ in group], np.int64)
+        top, constant = one_language(cache.table[np.concatenate([rows for _, rows, _ in group])], lengths, penalty)
+        for one, lang, alone in zip(group, top.tolist(), constant.tolist()):
+            if alone:
+                text = texts[one[0]]
+                ends = len(text) - len(text.lstrip()), len(text.rstrip())
+                out[one[0]] = (langs[lang], 1.0, [{"lang": langs[lang], "start": ends[0], "end": ends[1]}])
+            else:
+                mixed.append(one)
+    for group in _groups(mixed, limit):
+        lengths = np.array([len(rows) for _, rows, _ in group], np.int64)
+        labels = best_paths(cache.table[np.concatenate([rows for _, rows, _ in group])], lengths, penalty)
         for (i, _, tokens), own in zip(group, np.split(labels, np.cumsum(lengths)[:-1])):
             counts = np.bincount(own, minlength=len(langs))
-            top = int(counts.argmax())
-            out[i] = (langs[top], float(counts[top] / len(own)), _spans(texts[i], own, tokens, langs))
+            lang = int(counts.argmax())
+            out[i] = (langs[lang], float(counts[lang] / len(own)), _spans(texts[i], own, tokens, langs))
     return out
 
 
+def _groups(worded: list[tuple], limit: int) -> Iterator[list[tuple]]:
+    """Texts in turn, together at most ``limit`` words where more than one."""
+    group, total = [], 0
+    for one in worded:
+        if group and total + len(one[1]) > limit:
+            yield group
+            group, total = [], 0
+        group.append(one)
+        total += len(one[1])
+    if group:
+        yield group
+
+
 RESULT = "lang string, score double, spans array<struct<lang: string, start: int, end: int>>"
 TEXTS_AT_ONCE = 1000
 
@@ -299,7 +378,7 @@ def language_of(
         for batch in batches:
             texts, found = batch.tolist(), []
             for i in range(0, len(texts), TEXTS_AT_ONCE):
-                if len(cache) > CACHED_TOKENS:
+                if len(cache.rows) > CACHED_TOKENS:
                     cache = _WordScores(shared.value)
                 found += _label_texts(texts[i : i + TEXTS_AT_ONCE], cache, penalty)
             yield pd.DataFrame(found, columns=["lang", "score", "spans"])

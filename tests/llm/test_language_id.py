@@ -68,3 +68,14 @@ def test_held_out_accuracy(llm):
     found = li.detect(docs.filter(li.held_out()), model).join(docs.select("doc_id", "lang"), "doc_id")
     right = [r["lang"] == r["lang_pred"] for r in found.collect()]
     assert sum(right) / len(right) > 0.98
+
+
+def test_one_language_agrees_with_paths():
+    rng = np.random.default_rng(9)
+    for _ in range(40):
+        lengths = np.array(sorted(rng.integers(1, 9, 6), reverse=True))
+        scores = rng.normal(size=(lengths.sum(), 3)).astype(np.float32)
+        top, alone = li.one_language(scores, lengths, 1.5)
+        labels = np.split(li.best_paths(scores, lengths, 1.5), np.cumsum(lengths)[:-1])
+        for own, lang, constant in zip(labels, top, alone):
+            assert not constant or set(own.tolist()) == {lang}
