@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from commitloom.llm.rows import SPACE
 from commitloom.session import settle
 
-# Most labelled rows that take part in learning; they come to the driver as counts, not as texts.
+# About as many labelled rows take part in learning; they come to the driver as counts, not as texts.
 MAX_LABELLED = 20_000
 MAX_CONDITIONS = 4
 MAX_RULES = 12
@@ -200,7 +200,7 @@ def learn_rules(table: np.ndarray, bad: np.ndarray, prune: np.ndarray) -> list[R
 
 
 def fit_rules(counts: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> list[Rule]:
-    """Rules for bad documents (label 0), from at most ``MAX_LABELLED`` labelled rows.
+    """Rules for bad documents (label 0), from about ``MAX_LABELLED`` labelled rows, all if there are fewer.
 
     Documents whose labels are null or contradict each other teach nothing.
     The rows taken are those with the smallest hashes of ``doc_id``.
@@ -213,12 +213,14 @@ def fit_rules(counts: DataFrame, labels: DataFrame, doc_id: str = "doc_id", labe
         .drop("_most")
     )
     spread = F.xxhash64(F.col(doc_id), F.lit("quality"))
+    # The share of the labels that makes up the sample is known before anything is sent to the driver.
+    share = F.pmod("_spread", F.lit(2**30)) / F.lit(float(2**30))
     rows = (
         counts.join(agreed, doc_id)
         .select(spread.alias("_spread"), "_label", *features())
-        .orderBy("_spread", *FEATURES)
-        .limit(MAX_LABELLED)
+        .filter(share * agreed.count() < MAX_LABELLED)
         .toPandas()
+        .sort_values(["_spread", *FEATURES], ignore_index=True)
     )
     table = rows[list(FEATURES)].to_numpy(np.int64)
     return learn_rules(table, (rows["_label"] == 0).to_numpy(), (rows["_spread"] % 3 == 0).to_numpy())
