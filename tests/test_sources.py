@@ -13,7 +13,7 @@ SCHEMA = StructType([StructField("a", StringType()), StructField("n", LongType()
 GOOD = ['{"a":"x","n":1,"l":["p","q"]}', '{"a":null}', '  {"a":"y\\u00e9\\n"} ', '{"b":1,"a":"z"}', "{}"]
 BAD = [
     '{"a":"x"', '{"a":"x"} junk', '{"a":"x"}{"a":"z"}', '{"a":"x"}]', "{'a':'x'}", '{"a":"x",}', "{a:1}",
-    '{"a":"t\tab"}', "123", "null", '"s"', '[{"a":"x"}]', "junk", '{"a":01}',
+    '{"a":"x"},"b":9}', '{"a":"x"},"whole":1}', '{"a":"x"},"row":{"a":"y"}', '{"a":"x"},{"a":"y"}', '{"a":"t\tab"}', "123", "null", '"s"', '[{"a":"x"}]', "junk", '{"a":01}',
 ]
 
 
