@@ -51,10 +51,10 @@ def exclude_by_substring(
     string.  What matched is settled before it meets the rows, so that a name
     with many copies can be split.
     """
-    strings = exclusions.select("s").filter(F.col("s").isNotNull()).distinct()
+    strings = exclusions.select(F.col("s").alias("_excluded")).filter(F.col("_excluded").isNotNull()).distinct()
     if exact:
-        return df.join(settle(strings.withColumnRenamed("s", column), "excluded"), column, "left_anti")
-    lengths = strings.agg(F.sort_array(F.collect_set(F.length("s"))))
+        return df.join(settle(strings.withColumnRenamed("_excluded", column), "excluded"), column, "left_anti")
+    lengths = strings.agg(F.sort_array(F.collect_set(F.length("_excluded"))))
     name = F.col(column)
     pieces = F.flatten(
         F.transform(
@@ -69,8 +69,8 @@ def exclude_by_substring(
         .filter(name.isNotNull())
         .distinct()
         .withColumn("_lengths", lengths.scalar())
-        .select(column, F.explode(F.array_distinct(pieces)).alias("s"))
-        .join(strings, "s", "left_semi")
+        .select(column, F.explode(F.array_distinct(pieces)).alias("_excluded"))
+        .join(strings, "_excluded", "left_semi")
         .select(column)
         .distinct()
     )
