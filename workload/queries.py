@@ -58,7 +58,9 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jsonl_scan_skip(spark, sf_dir):
     """Every document as a good line, followed by a blank and three kinds of broken line."""
     line = F.to_json(F.struct("doc_id", "text", "lang"))
-    broken = F.array(line, F.lit("  "), F.expr("left(line, length(line) - 1)"), F.concat(F.col("line"), F.lit(" {}")), F.lit("7"))
+    endings = [" {}", ',"x":9', ',"row":{"doc_id":99}', ',"whole":1}', ']']
+    ended = [F.concat(F.col("line"), F.lit(ending)) for ending in endings]
+    broken = F.array(line, F.lit("  "), F.expr("left(line, length(line) - 1)"), *ended, F.lit("7"))
     path = fresh_path(spark, "scan") + "/lines.jsonl"
     lines = _documents(spark, sf_dir).select("doc_id", "text", "lang", line.alias("line"))
     lines.select(F.explode(broken)).write.text(path)
@@ -81,8 +83,8 @@ def jsonl_by_repo(spark, sf_dir):
     path = fresh_path(spark, "by-repo")
     out = views.commits(spark, sf_dir).select("repo", "commit_key", "author_name")
     jsonl.write_by_repo(out, path)
-    schema = StructType([StructField("commit_key", LongType()), StructField("author_name", StringType()), StructField("repo", StringType())])
-    return spark.read.schema(schema).json(path)
+    schema = StructType([StructField("commit_key", LongType()), StructField("author_name", StringType())])
+    return jsonl.read_jsonl(spark, path, schema, mode="fail")
 
 
 @query
