@@ -364,7 +364,7 @@ oracle(
 # --- samples -----------------------------------------------------------------------------------------
 
 _SHAPES = """
-select doc_id, case when source = 'src4' then ' x ' else array_to_string(list_slice(string_split(text, ' '), 1, 6), ' ') end as commit_msg,
+select doc_id, case when source = 'src4' then ' x ' else text end as commit_msg,
        case when lang = 'fr' then null when lang = 'de' then '' else ' ' || text end as change,
        case when source = 'src5' then null when source = 'src6' then ' ' else source end as recent_commits_message,
        case when lang = 'es' then null when source = 'src7' then ' ' || chr(10) else lang || chr(10) end as code_style,

@@ -383,7 +383,7 @@ def _record_shapes(spark, sf_dir) -> DataFrame:
     lang, source = F.col("lang"), F.col("source")
     return table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.when(source == "src4", " x ").otherwise(F.substring_index("text", " ", 6)).alias("commit_msg"),
+        F.when(source == "src4", " x ").otherwise(F.col("text")).alias("commit_msg"),
         F.when(lang == "fr", None).when(lang == "de", "").otherwise(F.concat(F.lit(" "), "text")).alias("change"),
         F.when(source == "src5", None).when(source == "src6", " ").otherwise(source).alias("recent_commits_message"),
         F.when(lang == "es", None).when(source == "src7", " \n").otherwise(F.concat("lang", F.lit("\n"))).alias("code_style"),
@@ -409,9 +409,9 @@ def format_prompt_bare(spark, sf_dir):
 @query
 def run_counters(spark, sf_dir):
     written = tx.long_enough(F.col("commit_msg"))
-    return _record_shapes(spark, sf_dir).agg(
-        F.count(F.lit(1)).alias("parsed"), F.count_if(written).alias("written")
-    )
+    counted, seen = samples.with_counters(_record_shapes(spark, sf_dir), "run", written=written)
+    counted.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(seen.get["parsed"], seen.get["written"])], "parsed long, written long")
 
 
 # --- token rows --------------------------------------------------------------------------------------
