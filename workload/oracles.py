@@ -189,13 +189,14 @@ _VIEWS["profile"] = "select lang, gram, count(*) as n from grams group by lang,
 
 
 def _scores(grams: str, key: str) -> str:
-    """Best language per key by smoothed naive Bayes, over trigram rows."""
+    """Best language per key by smoothed naive Bayes in millionths of a nat, over trigram rows."""
     return f"""
 select {key}, arg_min(lang, (loss, lang)) as lang
-from (select {key}, lang, -sum(c * ln((coalesce(n, 0) + 0.5) / mass)) as loss
+from (select {key}, lang, -sum(c * (coalesce(cast(floor(ln(2 * n + 1) * 1000000 + 0.5) as bigint), 0) + unseen)) as loss
       from (select {key}, gram, count(*) as c from {grams} group by {key}, gram)
-           cross join (select lang, sum(n) + 0.5 * (select count(distinct gram) from profile) as mass
-                       from profile group by lang)
+           cross join (select lang, cast(floor(ln(0.5::double / mass) * 1000000 + 0.5) as bigint) as unseen
+                       from (select lang, sum(n)::double + 0.5::double * (select count(distinct gram) from profile) as mass
+                             from profile group by lang))
            left join profile using (lang, gram)
       group by {key}, lang)
 group by {key}"""
