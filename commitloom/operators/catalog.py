@@ -77,27 +77,29 @@ def exclude_by_substring(
     return df.join(settle(matched, "excluded"), column, "left_anti")
 
 
-def split_by_integrity(repos: DataFrame, commits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Repositories that pass, and those that fail with the ``reason``.
+def judge_integrity(repos: DataFrame, commits: DataFrame) -> DataFrame:
+    """``repos`` with the ``reason`` for which a repository fails, null where it passes.
 
     A repository fails without any commit, or when a parent named by one of
-    its commits is not among them.  Nothing is deleted.
+    its commits is not among them.  Commits are read once: each gives its own
+    id and those of its parents, which meet by (repo, id), so a large
+    repository is many keys.
     """
-    known = commits.select("repo", F.col("commit_id").alias("parent"))
-    missing = (
-        commits.select("repo", F.explode("parents").alias("parent"))
-        .distinct()
-        .join(known, ["repo", "parent"], "left_anti")
+    own = F.array(F.struct(F.col("commit_id").alias("id"), F.lit(True).alias("known")))
+    parents = F.coalesce("parents", F.array().cast("array<string>"))
+    named = F.transform(parents, lambda p: F.struct(p.alias("id"), F.lit(False).alias("known")))
+    complete = (
+        commits.select("repo", F.inline(F.concat(own, named)))
+        .groupBy("repo", "id")
+        .agg(F.bool_or("known").alias("known"))
         .groupBy("repo")
-        .agg(F.count("*").alias("n_missing"))
-    )
-    sizes = commits.groupBy("repo").agg(F.count("*").alias("n_commits"))
-    reason = F.when(F.col("n_commits").isNull(), "no commits").when(
-        F.col("n_missing").isNotNull(), "missing parent"
-    )
-    judged = (
-        repos.join(sizes, "repo", "left").join(missing, "repo", "left").withColumn("reason", reason)
+        .agg(F.bool_and("known").alias("_complete"))
     )
-    passed = judged.filter(F.col("reason").isNull()).select(*repos.columns)
-    failed = judged.filter(F.col("reason").isNotNull()).select(*repos.columns, "reason")
-    return passed, failed
+    reason = F.when(F.col("_complete").isNull(), "no commits").when(~F.col("_complete"), "missing parent")
+    return repos.join(complete, "repo", "left").select(*repos.columns, reason.alias("reason"))
+
+
+def split_by_integrity(repos: DataFrame, commits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Repositories that pass, and those that fail with the ``reason``.  Nothing is deleted."""
+    judged = judge_integrity(repos, commits)
+    return judged.filter(F.col("reason").isNull()).drop("reason"), judged.filter(F.col("reason").isNotNull())

@@ -18,6 +18,8 @@ from commitloom.session import settle
 SLICES = 128
 # Most rows of one group that may meet in one task.
 ONE_TASK_ROWS = 2_000_000
+# A range partition is made for about this many rows.
+CHUNK_ROWS = 1_000_000
 
 
 def fits_one_task(n: int) -> bool:
@@ -60,29 +62,42 @@ def top_n_per_group(
     )
 
 
-def number_in_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], position: str = "position"
-) -> DataFrame:
-    """Number all rows of every group from 1, with no bound on the group.
+def cut_into_chunks(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """All rows with ``_chunk``, numbers that rise in group order, written to the shared folder when called.
 
-    Range partitions in group order cut a hot group into even chunks.  The
-    chunks are written out before use, so both branches below see the same
-    cuts even when an executor is lost.  A row's number is its place in its
-    chunk plus the sizes of the group's earlier chunks.
+    Range partitions cut a hot group into even chunks.  There are as many as
+    the rows need, which are counted first, so no chunk grows with the data.
+    The chunks are written out before use, so all who read them see the same
+    cuts even when an executor is lost.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *group, *order).withColumn("_chunk", F.spark_partition_id())
-    chunked = settle(ranged, "chunks")
+    parts = max(parts, -(-df.count() // CHUNK_ROWS))
+    return settle(df.repartitionByRange(parts, *group, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
+
+
+def chunk_offsets(chunked: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows of a group before each of its chunks; one narrow row per chunk and group."""
     earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    return (
         chunked.groupBy(*group, "_chunk")
         .agg(F.count("*").alias("_rows"))
         .select(*group, "_chunk", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
+
+
+def number_in_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], position: str = "position"
+) -> DataFrame:
+    """Number all rows of every group from 1, with no bound on the group.
+
+    A row's number is its place in its chunk plus the sizes of the group's
+    earlier chunks.
+    """
+    chunked = cut_into_chunks(df, group, order)
     in_chunk = F.row_number().over(Window.partitionBy(*group, "_chunk").orderBy(*order))
     return (
         chunked.withColumn("_place", in_chunk)
-        .join(offsets, [*group, "_chunk"])
+        .join(chunk_offsets(chunked, group), [*group, "_chunk"])
         .withColumn(position, F.col("_offset") + F.col("_place"))
         .select(*df.columns, position)
     )

@@ -80,6 +80,24 @@ def _noise(message: str) -> str:
 
 _BOT = r"regexp_matches(author_name, '(?i)\b(?:bot|robot)\b|\[bot\]')"
 
+
+def _diffs(size: int) -> str:
+    return f"""
+select commit_key, {_cut("whole", size)} as change, files
+from (select commit_key, string_agg(patch_text, '' order by patch_idx) as whole,
+             list_sort(list_distinct(flatten(list([new_path, old_path])))) as files
+      from running where before <= {size} group by commit_key)"""
+
+
+def _styles(size: int) -> str:
+    return f"""
+select repo, {_cut("content", size)} as code_style
+from (select repo, {_newlines("content")} as content, row_number() over (partition by repo order by
+        case path when 'CONTRIBUTING.md' then 1 when '.github/CONTRIBUTING.md' then 2 else 3 end) as rn
+      from repo_files where path in ('CONTRIBUTING.md', '.github/CONTRIBUTING.md', 'STYLEGUIDE.md'))
+where rn = 1"""
+
+
 # --- the history tables --------------------------------------------------------
 
 _VIEWS = {
@@ -129,12 +147,8 @@ select repo, commit_id, case when o_totalprice > 480000 then 'gone-' || commit_i
 from (select concat('own', o_custkey % 7, '/repo', o_custkey) as repo, sha1(concat('', o_orderkey)) as commit_id,
              o_totalprice, lag(sha1(concat('', o_orderkey)))
              over (partition by o_custkey order by o_orderdate, o_orderkey) as previous from orders)""",
-    "styles": f"""
-select repo, {_cut("content", MAX_STYLE)} as code_style
-from (select repo, {_newlines("content")} as content, row_number() over (partition by repo order by
-        case path when 'CONTRIBUTING.md' then 1 when '.github/CONTRIBUTING.md' then 2 else 3 end) as rn
-      from repo_files where path in ('CONTRIBUTING.md', '.github/CONTRIBUTING.md', 'STYLEGUIDE.md'))
-where rn = 1""",
+    "styles": _styles(fv.MAX_STYLE_SIZE),
+    "short_styles": _styles(MAX_STYLE),
     "ranked": f"""
 select *, row_number() over w as position,
        list(substr(commit_id, 1, 7) || ' ' || {_line("message")})
@@ -147,14 +161,11 @@ select repo, commit_key, commit_id, author_name, message, position,
     "running": """
 select *, coalesce(sum(length(patch_text)) over (partition by commit_key order by patch_idx
             rows between unbounded preceding and 1 preceding), 0) as before from patches""",
-    "diffs": f"""
-select commit_key, {_cut("whole", MAX_DIFF)} as change, files
-from (select commit_key, string_agg(patch_text, '' order by patch_idx) as whole,
-             list_sort(list_distinct(flatten(list([new_path, old_path])))) as files
-      from running where before <= {MAX_DIFF} group by commit_key)""",
+    "diffs": _diffs(fv.MAX_DIFF_SIZE),
+    "short_diffs": _diffs(MAX_DIFF),
     "kept": f"""
 select repo, commit_key, {_clean("message")} as commit_msg, recent_commits_message
-from recent where position <= {CAP} and not {_noise("message")} and not {_BOT}""",
+from recent where position <= {fv.MAX_COMMITS} and not {_noise("message")} and not {_BOT}""",
     "records": """
 select kept.repo, kept.commit_key, commit_msg, coalesce(change, '') as change, recent_commits_message,
        coalesce(license, 'Detection Failed: JSONDecodeError') as license, coalesce(code_style, '') as code_style,
@@ -165,10 +176,12 @@ from kept left join diffs using (commit_key) left join styles using (repo) left
 _NEEDS = {
     "repo_files": ["styled"],
     "styles": ["repo_files"],
+    "short_styles": ["repo_files"],
     "ranked": ["commits"],
     "recent": ["ranked"],
     "running": ["patches"],
     "diffs": ["running"],
+    "short_diffs": ["running"],
     "kept": ["recent"],
     "records": ["kept", "diffs", "styles", "licences", "sources"],
     "profile": ["grams"],
@@ -252,6 +265,15 @@ oracle(
        where full_name not in (select full_name from repo_catalog where stars > 6000)""",
     "repo_catalog",
 )
+oracle(
+    "repo_list_plan",
+    """select distinct full_name from (select *, row_number() over (partition by language
+                       order by stars desc, full_name, archived) as position
+                     from repo_catalog where stars > 100 and language in ('en', 'fr', 'de')) r
+       where position <= 100 and not exists (select 1 from repo_catalog b where b.stars > 6000
+             and contains(r.full_name, left(b.full_name, length(b.full_name) - 1)))""",
+    "repo_catalog",
+)
 oracle(
     "integrity_split",
     """select repo, case when repo not in (select repo from parented) then 'no commits'
@@ -282,8 +304,8 @@ oracle("py_strip", f"select doc_id, {_strip('text')} as stripped from documents"
 
 # --- diffs -------------------------------------------------------------------------------
 
-oracle("assemble_diff", "select commit_key, change from diffs", "diffs")
-oracle("affected_files", "select commit_key, array_to_string(files, '|') as affected_files from diffs", "diffs")
+oracle("assemble_diff", "select commit_key, change from short_diffs", "short_diffs")
+oracle("affected_files", "select commit_key, array_to_string(files, '|') as affected_files from short_diffs", "short_diffs")
 oracle(
     "diff_of_kept_commits",
     """select commit_key, coalesce(change, '') as change, coalesce(array_to_string(files, '|'), '') as affected_files
@@ -295,7 +317,7 @@ oracle("truncate_marked", f"select doc_id, {_cut('text', MAX_STYLE)} as cut from
 
 # --- repository facts and records -----------------------------------------------------------
 
-oracle("code_style", "select repo, code_style from styles", "styles")
+oracle("code_style", "select repo, code_style from short_styles", "short_styles")
 oracle("license_of_repo", "select repo, license from licences", "licences")
 oracle("repo_source", "select repo, repo_source from repositories left join sources using (repo)", "repositories", "sources")
 oracle(
@@ -342,17 +364,31 @@ oracle(
     odd=_ODD,
 )
 
+oracle(
+    "jsonl_normalize",
+    f"""select doc_id, {_normalized('text')} as commit_msg, n_chars as change, lang, source || '|' || text as deep
+        from odd join (select doc_id, lang, source, n_chars from documents) using (doc_id)""",
+    odd=_ODD,
+)
+
 # --- language ------------------------------------------------------------------------------------
 
 oracle(
     "min_length",
-    f"""select * from (select doc_id, case when lang = 'en' then ' ' || chr(10) || substr(text, 2, 2) || '  '
-          else text end as text from documents) where length({_strip('text')}) >= {fv.MIN_TARGET_LENGTH}""",
+    f"""select * from (select doc_id, case source when 'src1' then ' ' || chr(10) when 'src2' then ' ' || chr(10) || 'ab  '
+          when 'src3' then ' abc' || chr(9) else text end as text from documents)
+        where length({_strip('text')}) >= {fv.MIN_TARGET_LENGTH}""",
 )
 oracle("language_profile", "select lang, gram, n from profile", "profile")
 _DETECT = "select doc_id, detected.lang as lang from documents left join detected using (doc_id)"
 for _name in ("detect_language", "detect_language_shuffled"):
-    oracle(_name, _DETECT, "profile", detected=_scores("grams", "doc_id"))
+    oracle(
+        _name,
+        _DETECT,
+        "grams",
+        profile="select lang, gram, count(*) as n from grams where doc_id % 2 = 0 group by lang, gram",
+        detected=_scores("grams", "doc_id"),
+    )
 oracle(
     "filter_language",
     f"""select conv_id, turn, role, text as target from conversations join detected using (conv_id, turn)
@@ -405,8 +441,9 @@ oracle(
 # --- token rows -----------------------------------------------------------------------------------------
 
 _PAIRS = """
-select page_id, case when starts_with(url, 'https://m.') then repeat(url, 3) else url end as prompt,
-       case when starts_with(url, 'http:') then substr(html, 1, 40) || url
+select page_id, case when starts_with(url, 'https://m.') then repeat(url, 3) when starts_with(url, 'http:') then url
+            else html || url end as prompt,
+       case when starts_with(url, 'http:') then html || url when starts_with(url, 'https://m.') then html
             else list_extract(string_split(url, '/'), -1) end as target from pages"""
 
 
@@ -459,7 +496,7 @@ oracle("labels", "select page_id, labels from padded", **_ROWS)
 oracle(
     "commit_history_samples",
     f"""select commit_key, 'Recent commit examples: ' || recent_commits_message || chr(10) || 'Commit message:' as prompt,
-        {_clean('message')} as target from recent where position <= {CAP} and not {_noise('message')}""",
+        {_clean('message')} as target from recent where position <= {fv.MAX_COMMITS} and not {_noise('message')}""",
     "recent",
 )
 _WRITTEN = {

@@ -22,6 +22,8 @@ from commitloom.operators import (
     token_rows,
 )
 from commitloom.plans.commit_records import commit_records
+from commitloom.plans.normalize_jsonl import normalize_jsonl
+from commitloom.plans.repo_list import repository_list
 from commitloom.plans.training_rows import history_to_samples
 from commitloom.session import fresh_path, tune
 from commitloom.sources import jsonl, repo_list
@@ -31,7 +33,7 @@ from workload.views import table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Sizes at which the small tables still show every branch.
+# Sizes at which the small tables still show every branch; whole plans run at the library's own.
 CAP = 5
 MAX_DIFF = 90
 MAX_STYLE = 400
@@ -67,7 +69,7 @@ def jsonl_scan_skip(spark, sf_dir):
     schema = StructType(
         [StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType())]
     )
-    return jsonl.read_jsonl(spark, path, schema, glob="*.txt")
+    return jsonl.read_jsonl(spark, path, schema)
 
 
 @query
@@ -75,7 +77,7 @@ def jsonl_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "roundtrip")
     out = _documents(spark, sf_dir).withColumn("lang", F.nullif("lang", F.lit("fr")))
     jsonl.write_jsonl(out, path)
-    return jsonl.read_jsonl(spark, path, out.schema, mode="fail", glob="*.json")
+    return jsonl.read_jsonl(spark, path, out.schema, mode="fail")
 
 
 @query
@@ -143,12 +145,20 @@ def exclude_exact(spark, sf_dir):
     return catalog.exclude_by_substring(repos.select("full_name", "stars"), "full_name", big, exact=True)
 
 
+@query
+def repo_list_plan(spark, sf_dir):
+    """The list as it is fetched: ranked, each name once, without the largest names and their likes, sorted."""
+    repos = views.repo_catalog(spark, sf_dir)
+    big = repos.filter(F.col("stars") > 6000).select(F.expr("left(full_name, length(full_name) - 1)").alias("s"))
+    return repository_list(repos, big, "en,fr,de", max_pages=1, min_stars=100)
+
+
 @query
 def integrity_split(spark, sf_dir):
-    passed, failed = catalog.split_by_integrity(
+    judged = catalog.judge_integrity(
         views.repositories(spark, sf_dir), views.commits_with_parents(spark, sf_dir)
     )
-    return passed.withColumn("reason", F.lit("ok")).unionByName(failed)
+    return judged.withColumn("reason", F.coalesce("reason", F.lit("ok")))
 
 
 # --- commits ----------------------------------------------------------------------
@@ -224,7 +234,7 @@ def diff_of_kept_commits(spark, sf_dir):
     """Diffs of chosen commits only; those without a patch get an empty one."""
     kept = history.drop_merges(views.commits(spark, sf_dir))
     kept = kept.select("commit_key")
-    found = diffs.assemble_diffs(views.patches(spark, sf_dir), ["commit_key"], MAX_DIFF, commits=kept)
+    found = diffs.assemble_diffs(views.patches(spark, sf_dir), ["commit_key"], commits=kept)
     return diffs.with_diffs(kept, found, ["commit_key"]).withColumn("affected_files", F.array_join("affected_files", "|"))
 
 
@@ -255,7 +265,7 @@ def repo_source(spark, sf_dir):
 def repo_enrichment(spark, sf_dir):
     commits = views.commits(spark, sf_dir).select("repo", "commit_key")
     return repo_meta.with_repo_meta(
-        commits, views.repo_files(spark, sf_dir), views.license_json(spark, sf_dir), max_style_size=MAX_STYLE
+        commits, views.repo_files(spark, sf_dir), views.license_json(spark, sf_dir)
     )
 
 
@@ -267,9 +277,6 @@ def _records(spark, sf_dir, skip_bots: bool = False) -> DataFrame:
         views.license_json(spark, sf_dir),
         views.remotes(spark, sf_dir),
         key=["commit_key"],
-        max_commits=CAP,
-        max_diff_size=MAX_DIFF,
-        max_style_size=MAX_STYLE,
         skip_bots=skip_bots,
         tie="commit_key",
     )
@@ -288,14 +295,14 @@ def count_by_repo(spark, sf_dir):
 # --- text normalisation ------------------------------------------------------------------
 
 
-def _decomposed(spark, sf_dir) -> DataFrame:
+def _decomposed(spark, sf_dir, *others: str) -> DataFrame:
     """Documents with accents split off, CRLF line ends, doubled spaces and odd characters."""
     text = F.col("text")
     for whole, parts in (("é", "é"), ("è", "è"), ("ü", "ü")):
         text = F.replace(text, F.lit(whole), F.lit(parts))
     for plain, odd in (("\n", "\r\n"), (" ", "  "), ("q", "​αд"), ("W", "\U0001f600")):
         text = F.replace(text, F.lit(plain), F.lit(odd))
-    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), *others)
 
 
 def _text_query(spark, sf_dir, change: Callable[[Column], Column]) -> DataFrame:
@@ -338,13 +345,32 @@ def normalize_fields(spark, sf_dir):
     return normalize.normalize_fields(wide)
 
 
+@query
+def jsonl_normalize(spark, sf_dir):
+    """The stage from file to file; members it does not name, and a number in one it names, come through."""
+    lines = _decomposed(spark, sf_dir, "lang", "source", "n_chars").select(
+        "doc_id",
+        F.col("text").alias("commit_msg"),
+        F.col("n_chars").alias("change"),
+        F.struct("lang", F.array("source", "text").alias("deep")).alias("other"),
+    )
+    source, target = fresh_path(spark, "lines"), fresh_path(spark, "normal-lines")
+    jsonl.write_jsonl(lines, source)
+    normalize_jsonl(spark, source, target, ["commit_msg", "change"])
+    found = jsonl.read_jsonl(spark, target, lines.schema, mode="fail")
+    return found.select("doc_id", "commit_msg", "change", "other.lang", F.array_join("other.deep", "|").alias("deep"))
+
+
 # --- language --------------------------------------------------------------------------------
 
 
 @query
 def min_length(spark, sf_dir):
-    cut = F.when(F.col("lang") == "en", F.concat(F.lit(" \n"), F.substring("text", 2, 2), F.lit("  "))).otherwise(F.col("text"))
-    return samples.min_length(_documents(spark, sf_dir).select("doc_id", cut.alias("text")), "text")
+    """Whole documents, but three sources are blank, too short and just long enough."""
+    source = F.col("source")
+    shaped = F.when(source == "src1", " \n").when(source == "src2", " \nab  ").when(source == "src3", " abc\t")
+    documents = table(spark, sf_dir, "documents")
+    return samples.min_length(documents.select("doc_id", shaped.otherwise(F.col("text")).alias("text")), "text")
 
 
 @query
@@ -352,19 +378,22 @@ def language_profile(spark, sf_dir):
     return language.language_profile(_documents(spark, sf_dir))
 
 
+def _even_profile(documents: DataFrame) -> DataFrame:
+    return language.language_profile(documents.filter(F.col("doc_id") % 2 == 0))
+
+
 @query
 def detect_language(spark, sf_dir):
+    """All documents, by a profile of the even ones: the others were never seen."""
     documents = _documents(spark, sf_dir)
-    return language.detect_language(documents, language.language_profile(documents), ["doc_id"])
+    return language.detect_language(documents, _even_profile(documents), ["doc_id"])
 
 
 @query
 def detect_language_shuffled(spark, sf_dir):
     """The same with a profile taken to be too large to broadcast."""
     documents = _documents(spark, sf_dir)
-    return language.detect_language(
-        documents, language.language_profile(documents), ["doc_id"], broadcast_bytes=0
-    )
+    return language.detect_language(documents, _even_profile(documents), ["doc_id"], broadcast_bytes=0)
 
 
 @query
@@ -418,12 +447,16 @@ def run_counters(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir) -> DataFrame:
-    """Pages as pairs: short and long prompts, targets below and beyond the row length."""
+    """Pages as pairs, each with its whole text: in a long target, or in a prompt before a short one."""
     url = F.col("url")
     return table(spark, sf_dir, "pages").select(
         "page_id",
-        F.when(F.startswith("url", F.lit("https://m.")), F.repeat(url, F.lit(3))).otherwise(url).alias("prompt"),
-        F.when(F.startswith("url", F.lit("http:")), F.concat(F.substring("html", 1, 40), url))
+        F.when(F.startswith("url", F.lit("https://m.")), F.repeat(url, F.lit(3)))
+        .when(F.startswith("url", F.lit("http:")), url)
+        .otherwise(F.concat("html", url))
+        .alias("prompt"),
+        F.when(F.startswith("url", F.lit("http:")), F.concat("html", url))
+        .when(F.startswith("url", F.lit("https://m.")), F.col("html"))
         .otherwise(F.substring_index("url", "/", -1))
         .alias("target"),
     )
@@ -476,7 +509,7 @@ def commit_history_samples(spark, sf_dir):
     """The smallest whole query: history and message of each kept commit, as a sample."""
     columns = ["repo", "commit_key", "commit_id", "committed_at", "message"]
     commits = history.drop_merges(views.commits(spark, sf_dir)).select(*columns)
-    kept = history.drop_noise_subjects(history.with_recent_history(commits, CAP, tie="commit_key"))
+    kept = history.drop_noise_subjects(history.with_recent_history(commits, tie="commit_key"))
     return kept.select(
         "commit_key",
         F.concat(F.lit(fv.LABEL_RECENT), "recent_commits_message", F.lit("\n" + fv.LABEL_MESSAGE)).alias("prompt"),
@@ -492,9 +525,6 @@ def _samples(spark, sf_dir) -> DataFrame:
         profile=language.language_profile(_documents(spark, sf_dir)),
         langs=("en",),
         key=["commit_key"],
-        max_commits=CAP,
-        max_diff_size=MAX_DIFF,
-        max_style_size=MAX_STYLE,
         skip_bots=True,
         tie="commit_key",
     )

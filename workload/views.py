@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from commitloom.operators.ranking import number_in_group
+from commitloom.session import settle
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -15,11 +18,15 @@ def _repo(owner: Column) -> Column:
     return F.concat(F.lit("own"), (owner % 7).cast("string"), F.lit("/repo"), owner.cast("string"))
 
 
+def _at_turn(df: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """Give each row the one of ``others``, by its first column, that its key falls on when counted round."""
+    at = F.col(key) % others.agg(F.count("*")).scalar()
+    return df.withColumn("_at", at).join(others, F.col("_at") == F.col(others.columns[0])).drop("_at")
+
+
 def _with_document(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Give each row the document its key falls on."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    n = documents.count()
-    return df.join(documents, F.col(key) % n == F.col("doc_id"))
+    return _at_turn(df, table(spark, sf_dir, "documents").select("doc_id", "text"), key)
 
 
 def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,9 +128,14 @@ def commits_with_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         "o_totalprice",
     )
-    previous = F.lag("commit_id").over(Window.partitionBy("repo").orderBy("o_orderdate", "o_orderkey"))
-    parent = F.when(F.col("o_totalprice") > 480000, F.concat(F.lit("gone-"), "commit_id")).otherwise(previous)
-    return ids.select("repo", "commit_id", F.array_compact(F.array(parent)).alias("parents"))
+    # A repository may be huge, so its commits are numbered in chunks instead of by one window.
+    order = [F.col("o_orderdate"), F.col("o_orderkey")]
+    numbered = settle(number_in_group(ids, ["repo"], order), "numbered-commits")
+    previous = numbered.select("repo", (F.col("position") + 1).alias("position"), F.col("commit_id").alias("previous"))
+    parent = F.when(F.col("o_totalprice") > 480000, F.concat(F.lit("gone-"), "commit_id")).otherwise(F.col("previous"))
+    return numbered.join(previous, ["repo", "position"], "left").select(
+        "repo", "commit_id", F.array_compact(F.array(parent)).alias("parents")
+    )
 
 
 def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +146,6 @@ def license_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detector answers of every shape, by the kind of document a repository falls on."""
     customer = table(spark, sf_dir, "customer").select("c_custkey")
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    n = documents.count()
     lang, source = F.col("lang"), F.col("source")
     answer = (
         F.when(source == "src1", '{"licenses":[]}')
@@ -145,7 +156,7 @@ def license_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(lang == "de", F.concat(F.lit('{"licenses":[{"spdx_id":null,"key":"'), source, F.lit('"}]}')))
         .otherwise('{"licenses":[{"spdx_id":null}],"matched_files":[1,2]}')
     )
-    return customer.join(documents, F.col("c_custkey") % n == F.col("doc_id")).select(
+    return _at_turn(customer, documents, "c_custkey").select(
         _repo(F.col("c_custkey")).alias("repo"), answer.alias("json")
     )
 
@@ -154,14 +165,13 @@ def remotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two remotes per repository, the first without a url for repositories on http pages."""
     customer = table(spark, sf_dir, "customer").select("c_custkey")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    n = pages.count()
     first = F.when(F.startswith("url", F.lit("https:")), F.col("url")).otherwise("")
     both = F.array(
         F.struct(F.lit(1).alias("pos"), F.concat("url", F.lit("/mirror")).alias("url")),
         F.struct(F.lit(0).alias("pos"), first.alias("url")),
     )
     return (
-        customer.join(pages, F.col("c_custkey") % n == F.col("page_id"))
+        _at_turn(customer, pages, "c_custkey")
         .select(_repo(F.col("c_custkey")).alias("repo"), F.explode(both).alias("remote"))
         .select("repo", "remote.*")
     )
