@@ -83,3 +83,25 @@ def test_integrity(spark):
     passed, failed = catalog.split_by_integrity(repos, commits)
     assert names(passed, "repo") == ["ok", "other"]
     assert {r["repo"]: r["reason"] for r in failed.collect()} == {"empty": "no commits", "broken": "missing parent"}
+
+
+def test_integrity_reads_commits_once(spark, tmp_path):
+    repos = spark.createDataFrame([("a",), ("b",), ("c",)], "repo string")
+    commits = spark.createDataFrame([("a", "1", None), ("b", "2", ["1"])], "repo string, commit_id string, parents array<string>")
+    commits.write.parquet(str(tmp_path / "commits"))
+    judged = catalog.judge_integrity(repos, spark.read.parquet(str(tmp_path / "commits")))
+    assert {r["repo"]: r["reason"] for r in judged.collect()} == {"a": None, "b": "missing parent", "c": "no commits"}
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+
+
+def test_repository_list(spark):
+    from commitloom.plans.repo_list import repository_list
+
+    rows = [("o/b", "en", 900, False), ("o/a", "en", 800, False), ("o/a", "fr", 800, False), ("o/low", "en", 1, False), ("p/bad", "en", 700, False)]
+    repos = spark.createDataFrame(rows, "full_name string, language string, stars long, archived boolean")
+    bad = spark.createDataFrame([("bad",)], "s string")
+    got = repository_list(repos, bad, ["en", "fr"], max_pages=1, min_stars=100)
+    assert [r["full_name"] for r in got.collect()] == ["o/a", "o/b"]
+    every = repository_list(repos, None, ["en"], max_pages=1, min_stars=100)
+    assert [r["full_name"] for r in every.collect()] == ["o/a", "o/b", "p/bad"]

@@ -88,3 +88,25 @@ def test_repo_list(spark, tmp_path):
     assert sorted(r["full_name"] for r in got.collect()) == ["a/b", "g/h", "g/i"]
     repo_list.write_repo_list(got, str(tmp_path / "out"))
     assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()) == ["a/b", "g/h", "g/i"]
+
+
+def test_members_outside_the_schema_come_through(spark, tmp_path):
+    lines = ['{"a":"x  y","n":null,"o":{"b":[1,"é"]}}', '{"a":7,"extra":true}', '{"n":3}', "junk", '{"a":"z","n":"text"}']
+    source, target = write(tmp_path, lines), str(tmp_path / "out")
+    schema = StructType([StructField("a", StringType()), StructField("n", LongType())])
+    df = jsonl.read_jsonl(spark, source, schema, glob="f.jsonl", whole_line="_line")
+    jsonl.write_jsonl(df.selectExpr("upper(a) as a", "n", "_line"), target, whole_line="_line")
+    got = [json.loads(r["value"]) for r in spark.read.text(target).collect()]
+    want = [{"a": "X  Y", "n": None, "o": {"b": [1, "é"]}}, {"a": 7, "extra": True}, {"n": 3}, {"a": "Z", "n": "text"}]
+    assert len(got) == len(want) and all(line in got for line in want)
+    assert jsonl.read_jsonl(spark, target, schema, mode="fail").count() == 4
+
+
+def test_normalise_stage_from_file_to_file(spark, tmp_path):
+    from commitloom.plans.normalize_jsonl import normalize_jsonl
+
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in", ['{"commit_msg":"a  b\\r\\nc","change":5,"more":"x  y"}'])
+    normalize_jsonl(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["commit_msg", "change"])
+    (row,) = spark.read.text(str(tmp_path / "out")).collect()
+    assert json.loads(row["value"]) == {"commit_msg": "a b\nc", "change": 5, "more": "x  y"}
