@@ -11,6 +11,7 @@ from commitloom.llm import (
     decontaminate,
     language_id,
     license_scan,
+    line_crf,
     line_dedup,
     mixing,
     quality_rules,
@@ -116,3 +117,12 @@ def op10_decontaminate(spark, sf_dir):
         digest(F.array_join(F.array_sort("items"), ",")).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op11_line_crf(spark, sf_dir):
+    """Learns from labelled documents that are not held out, and scores all."""
+    documents, held_out = _table(spark, sf_dir), line_crf.held_out()
+    examples = line_crf.training_documents(documents.filter(~held_out), _table(spark, sf_dir, "labels"))
+    scored = line_crf.score_documents(documents, line_crf.train(examples))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("lines").alias("n_lines"))
