@@ -2,6 +2,56 @@
 
 from __future__ import annotations
 
+
+
+def _vector_codes() -> str:
+    """Six rounds of assignment and floored means, one after the other, then the last assignment."""
+    assigned = """
+{name} as (
+  select rn, p, struct_extract(nearest, 'e') as e, struct_extract(nearest, 'd') as d from (
+    select v.rn, v.p, min(struct_pack(d := list_sum(list_transform(list_zip(v.part, c.entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := c.e))
+      as nearest
+    from parts v join {books} c on v.p = c.p group by v.rn, v.p
+  )
+)"""
+    moved = """
+{name} as (
+  select o.p, o.e, coalesce(n.entry, o.entry) as entry from {books} o left join (
+    select p, e, list(cast(((s - ((s % c) + c) % c) // c) as bigint) order by i) as entry from (
+      select a.p, a.e, g.i, sum(v.part[g.i]) as s, count(*) as c
+      from {codes} a join parts v on a.rn = v.rn and a.p = v.p, generate_series(1, len(v.part)) as g(i)
+      group by a.p, a.e, g.i
+    ) group by p, e
+  ) n on o.p = n.p and o.e = n.e
+)"""
+    steps = []
+    for i in range(6):
+        steps.append(assigned.format(name=f"codes{i}", books=f"books{i}"))
+        steps.append(moved.format(name=f"books{i + 1}", books=f"books{i}", codes=f"codes{i}"))
+    steps.append(assigned.format(name="codes6", books="books6"))
+    return """
+with kept as materialized (
+  select row_number() over (order by vec_id nulls last, embedding) as rn, vec_id, label,
+    list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+  select rn, p, v[p * len(v) // 8 + 1 : (p + 1) * len(v) // 8] as part from kept, generate_series(0, 7) as g(p)
+), books0 as (
+  select p, rn - 1 as e, part as entry from parts where rn <= 16
+),""" + ",".join(s.replace(" as (", " as materialized (", 1) for s in steps) + """,
+coded as (
+  select rn, string_agg(lpad(to_hex(e), 2, '0'), '' order by p) as code, cast(sum(d) as bigint) as error
+  from codes6 group by rn
+), digest as (
+  select sha256(string_agg(array_to_string(entry, ','), ',' order by p, e)) as codebooks_sha256 from books6
+)
+select k.vec_id, lower(c.code) as code, c.error, cast(sum(c.error) over (partition by k.label) as bigint) as label_error,
+  codebooks_sha256
+from kept k join coded c on k.rn = c.rn, digest
+"""
+
+
 ORACLES: dict[str, str] = {
     "op5_line_dedup": """
 with lines as (
@@ -67,4 +117,5 @@ select d.doc_id, len(d.w) as n_words, coalesce(c.n_hit, 0) as n_hit, coalesce(f.
   coalesce(c.n_hit > 0 and 20 * c.n_hit >= len(d.w), false) as contaminated
 from lower_documents d left join covered c on d.doc_id = c.doc_id left join found f on d.doc_id = f.doc_id
 """,
+    "op12_vector_codes": _vector_codes(),
 }

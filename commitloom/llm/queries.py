@@ -19,6 +19,7 @@ from commitloom.llm import (
     sharding,
     simhash,
     substring_dedup,
+    vector_codes,
 )
 from commitloom.llm.rows import digest
 from commitloom.llm.shipping import ship
@@ -126,3 +127,8 @@ def op11_line_crf(spark, sf_dir):
     examples = line_crf.training_documents(documents.filter(~held_out), _table(spark, sf_dir, "labels"))
     scored = line_crf.score_documents(documents, line_crf.train(examples))
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("lines").alias("n_lines"))
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.shown(*vector_codes.compress(_table(spark, sf_dir, "embeddings")))
