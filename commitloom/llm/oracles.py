@@ -118,4 +118,38 @@ select d.doc_id, len(d.w) as n_words, coalesce(c.n_hit, 0) as n_hit, coalesce(f.
 from lower_documents d left join covered c on d.doc_id = c.doc_id left join found f on d.doc_id = f.doc_id
 """,
     "op12_vector_codes": _vector_codes(),
+    "op13_phrase_collocations": r"""
+with pieces as (
+  select row_number() over () as piece, lang, regexp_extract_all(text, '[^\x20\x09]+') as w from (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as text from documents
+  )
+), totals as (select lang, sum(len(w)) as n from pieces group by lang),
+phrases as materialized (
+  select lang, w, len(w) as size, count(*) as a from (
+    select lang, list_slice(w, i, i + size - 1) as w
+    from pieces, generate_series(1, 5) as s(size), generate_series(1, len(w) - size + 1) as g(i)
+  ) group by lang, w having count(*) >= 100
+), scored as (
+  select p.lang, p.w, p.size, p.a, k, l.a as l, r.a as r, t.n,
+    (1000 * cast(p.a as hugeint) * cast(t.n as hugeint)) // (cast(l.a as hugeint) * cast(r.a as hugeint)) as score
+  from phrases p cross join generate_series(1, 4) as g(k)
+  join phrases l on l.lang = p.lang and l.w = list_slice(p.w, 1, k)
+  join phrases r on r.lang = p.lang and r.w = list_slice(p.w, k + 1, p.size)
+  join totals t on t.lang = p.lang where k < p.size
+), weakest as (
+  select * from scored qualify row_number() over (partition by lang, w order by score, k) = 1
+), inner_phrases as (
+  select q.lang, list_slice(q.w, i, i + m - 1) as w, max(q.a) as longer
+  from phrases q, generate_series(2, 4) as s(m), generate_series(1, q.size - m + 1) as g(i)
+  where m < q.size group by 1, 2
+), ranked as (
+  select c.*, array_to_string(c.w, ' ') as phrase from weakest c left join inner_phrases i on c.lang = i.lang and c.w = i.w
+  where i.longer is null or i.longer < c.a
+)
+select lang, rank, phrase, a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n,
+  cast(score as bigint) as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from ranked)
+where rank <= 2000
+""",
 }

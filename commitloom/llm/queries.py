@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitloom.llm import (
+    collocations,
     decontaminate,
     language_id,
     license_scan,
@@ -132,3 +133,9 @@ def op11_line_crf(spark, sf_dir):
 @query
 def op12_vector_codes(spark, sf_dir):
     return vector_codes.shown(*vector_codes.compress(_table(spark, sf_dir, "embeddings")))
+
+
+@query
+def op13_phrase_collocations(spark, sf_dir):
+    found = collocations.collocations(_table(spark, sf_dir))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
