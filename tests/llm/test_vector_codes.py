@@ -1,0 +1,132 @@
+import hashlib
+import itertools
+import math
+
+import numpy as np
+import pytest
+from helpers import collected
+
+from commitloom.llm import vector_codes as vc
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, error long, _id string, part int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, label, "x", 1, "y", 2) for i, v, label in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("dims, bits", [(1, 4), (2, 3), (3, 2), (4, 2)])
+def test_hilbert_steps_to_neighbours(dims, bits):
+    grid = np.array(list(itertools.product(range(2**bits), repeat=dims)))
+    keys = vc.hilbert_keys(grid, bits)
+    assert sorted(keys.tolist()) == list(range(len(grid)))
+    steps = np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(1)
+    assert (steps == 1).all()
+
+
+def plain_nearest(part, book):
+    distances = [sum((a - b) ** 2 for a, b in zip(part, entry)) for entry in book]
+    return distances.index(min(distances)), min(distances)
+
+
+def test_blocks_agree_with_all_entries():
+    rng = np.random.default_rng(8)
+    members = np.sort(rng.integers(-40, 40, (1500, 3)), axis=0)
+    entries = rng.integers(-40, 40, (16, 3))
+    entries[9] = entries[2]  # ties go to the lower one
+    page = vc.Page.of(members)
+    want = [plain_nearest(m, entries.tolist()) for m in members.tolist()]
+    code, error = page.assigned(entries)
+    assert code.tolist() == [c for c, _ in want] and error.tolist() == [d for _, d in want]
+    sums, counts = page.totals(entries)
+    for e in range(16):
+        own = members[code == e]
+        assert counts[e] == len(own) and sums[e].tolist() == own.sum(0).tolist()
+    assert page.shortlists(entries).sum(1).min() < 16
+    read = vc.Page.read(dict(zip(vc.Page.FIELDS, page.written())), 3)
+    assert all((getattr(read, f) == getattr(page, f)).all() for f in vc.Page.FIELDS)
+
+
+def test_box_distances_hold_for_points_inside():
+    rng = np.random.default_rng(2)
+    points, entries = rng.integers(-9, 9, (60, 4)), rng.integers(-12, 12, (5, 4))
+    least, largest = vc.box_distances(points.min(0)[None], points.max(0)[None], entries)
+    real = ((points[:, None] - entries[None]) ** 2).sum(2)
+    assert (least[0] <= real.min(0)).all() and (real.max(0) <= largest[0]).all()
+
+
+def plain_codes(rows, rounds=6):
+    kept = [(i, [math.floor(4096 * float(np.float32(x))) for x in v], label) for i, v, label in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = len(kept[0][1]) // 8
+    cut = [[v[p * width : (p + 1) * width] for p in range(8)] for _, v, _ in kept]
+    books = [[c[p] for c in cut[:16]] for p in range(8)]
+    for _ in range(rounds):
+        for p in range(8):
+            groups = {}
+            for c in cut:
+                groups.setdefault(plain_nearest(c[p], books[p])[0], []).append(c[p])
+            books[p] = [[sum(x) // len(groups[e]) for x in zip(*groups[e])] if e in groups else old for e, old in enumerate(books[p])]
+    found = []
+    for (i, _, label), c in zip(kept, cut):
+        near = [plain_nearest(c[p], books[p]) for p in range(8)]
+        found.append((i, "".join(f"{e:02x}" for e, _ in near), sum(d for _, d in near), label))
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return [(i, code, error, sum(e for _, _, e, other in found if other == label), digest) for i, code, error, label in found]
+
+
+def key(row):
+    return tuple((x is None, x or 0) if not isinstance(x, str) else (False, x) for x in row)
+
+
+def check(spark, rows):
+    got = collected(vc.shown(*vc.compress(table(spark, rows))))
+    names = ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert sorted([tuple(r[n] for n in names) for r in got], key=key) == sorted(plain_codes(rows), key=key)
+
+
+def random_rows(n, dims, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, dims)) / 3
+    return [(int(i), [float(x) for x in (centres[i % 6] + rng.normal(size=dims) / 9).astype(np.float32)], int(i) % 4) for i in range(n)]
+
+
+def test_against_plain_rounds(llm):
+    check(llm, random_rows(300, 16, 1))
+
+
+def test_small_pages_and_one_number_a_part(llm, monkeypatch):
+    monkeypatch.setattr(vc, "BLOCK", 4)
+    monkeypatch.setattr(vc, "PAGE_BLOCKS", 3)
+    check(llm, random_rows(90, 8, 3))
+
+
+def test_awkward_vectors(llm):
+    rows = random_rows(40, 16, 5)
+    same = rows[7][1]
+    rows += [(100 + i, same, None) for i in range(60)]  # a hot vector
+    rows += [(200, None, 1), (201, [None] * 16, 1), (202, [float("nan")] + [0.0] * 15, 1), (203, [float("-inf")] * 16, 1)]
+    rows += [(None, same, 9), (None, rows[3][1], None), (5, rows[9][1], 2), (5, rows[9][1], 2), (5, rows[9][1], 3)]
+    rows += [(300, [-1e-9] * 16, 3), (301, [0.0] * 16, 3), (302, [-0.0] * 16, 3), (303, [8000.5, -8000.5] * 8, 3)]
+    check(llm, rows)
+
+
+def test_few_rows_and_ties(llm):
+    check(llm, [(i, [0.25 * (i % 2)] * 8, 1) for i in range(5)])
+    check(llm, [(1, [0.0] * 8, None)])
+
+
+def test_lengths_that_cannot_be_cut(llm):
+    rows = random_rows(30, 16, 6) + [(500, [0.5] * 8, 1), (501, [], 1)]
+    found = {r["vec_id"]: r for r in collected(vc.shown(*vc.compress(table(llm, rows))))}
+    assert len(found) == 32 and found[500]["code"] is None and found[501]["error"] is None and found[3]["code"]
+    odd = collected(vc.shown(*vc.compress(table(llm, [(i, [0.5] * 9, 1) for i in range(20)]))))
+    assert len(odd) == 20 and {r["code"] for r in odd} == {None}
+    assert vc.compress(table(llm, []))[0].count() == 0
+    assert vc.shown(*vc.compress(table(llm, [(1, None, 1)]))).count() == 0
+
+
+def test_too_large_a_component_says_so(llm):
+    with pytest.raises(Exception, match="reaches"):
+        vc.compress(table(llm, [(1, [1e9] * 8, 1)]))
