@@ -10,7 +10,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from commitloom.llm.components import component_labels
 from commitloom.llm.rows import keyed_rows, row_key, shown_id
@@ -157,13 +156,16 @@ def near_duplicates(
     shingle_words: int = SHINGLE_WORDS,
     radius: int = MAX_DISTANCE,
 ) -> DataFrame:
-    """``_id``, ``_hash``, ``fingerprint`` and ``component_id`` of every row.
-
-    Rows link when their fingerprints differ in at most ``radius`` bits; the
-    component is the smallest ``doc_id`` reachable.  Null, empty and blank
-    texts have fingerprint zero and link like any other.  Equal fingerprints
-    meet as one: copies are counted before any shuffle, and only one member of
-    each takes part in the search.
+    """``_id``, ``_hash``, ``fp``, ``_component`` and ``component_id`` of every row.
+
+    Rows link when their fingerprints differ in at most ``radius`` bits.
+    ``_component`` names a component by its smallest fingerprint and is its own
+    alone; ``component_id`` is the smallest ``doc_id`` reachable, which several
+    components share where ids are null or repeated.  Null, empty and blank
+    texts have fingerprint zero and link like any other; a null id comes after
+    all others.  Equal fingerprints meet as one: copies are counted before any
+    shuffle, and only one member of each takes part in the search.  An empty
+    table has no components.
     """
     rows = settle(
         documents.select(*row_key(doc_id, text), fingerprints(F.col(text), shingle_words).alias("fp")), "fingerprints"
@@ -176,8 +178,8 @@ def near_duplicates(
         "fp", F.coalesce("label", "fp").alias("_component"), "_first"
     )
     smallest = settle(members.groupBy("_component").agg(F.min("_first").alias("component_id")), "components")
-    placed = settle(members.join(smallest, "_component").select("fp", "component_id"), "placed")
-    return rows.join(placed, "fp").select("_id", "_hash", "fp", "component_id")
+    placed = settle(members.join(smallest, "_component").select("fp", "_component", "component_id"), "placed")
+    return rows.join(placed, "fp").select("_id", "_hash", "fp", "_component", "component_id")
 
 
 def shown(found: DataFrame) -> DataFrame:
@@ -191,11 +193,15 @@ def shown(found: DataFrame) -> DataFrame:
 def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
     """One row of each component, as it is: the smallest ``doc_id``, and of its rows the smallest text hash.
 
-    Rows equal in ``doc_id`` and text count as repeats; one of them stays.
+    Of rows equal in ``doc_id`` and text one stays, chosen by a hash of all its
+    columns; it is chosen before the shuffle where it can be.  Rows with a null
+    or repeated ``doc_id`` and unlike texts are documents of their own.  Null
+    and empty texts are near copies of each other, and an empty table stays
+    empty.
     """
     names = {k: options[k] for k in ("doc_id", "text") if k in options}
     found = near_duplicates(documents, **options)
-    chosen = found.groupBy("component_id").agg(F.min(F.struct("_id", "_hash")).alias("k")).select("k._id", "k._hash")
-    nth = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(1)))
-    kept = keyed_rows(documents, **names).join(chosen, ["_id", "_hash"]).withColumn("_nth", nth)
-    return kept.filter("_nth = 1").select("_row.*")
+    chosen = found.groupBy("_component").agg(F.min(F.struct("_id", "_hash")).alias("k")).select("k._id", "k._hash")
+    kept = keyed_rows(documents, **names).join(chosen, ["_id", "_hash"])
+    one = kept.groupBy("_id", "_hash").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return one.select("_row.*")
