@@ -15,8 +15,6 @@ from commitloom.session import settle
 
 # About as many labelled rows take part in learning; they come to the driver as counts, not as texts.
 MAX_LABELLED = 20_000
-MAX_CONDITIONS = 4
-MAX_RULES = 12
 # A rule stands if this share of the pruning rows it covers is bad, and it covers this many of them.
 MIN_PRECISION = 0.9
 MIN_COVER = 5
@@ -168,14 +166,17 @@ def _best_condition(table: np.ndarray, bad: np.ndarray) -> tuple[float, Conditio
 def learn_rules(table: np.ndarray, bad: np.ndarray, prune: np.ndarray) -> list[Rule]:
     """Sequential covering: grow a rule on some rows, prune it on the others, take out what it covers.
 
-    ``prune`` marks the rows kept back for pruning.  Learning ends when no
-    bad row is left or the next rule does not stand on the rows kept back.
+    ``prune`` marks the rows kept back for pruning.  A rule grows until it
+    covers bad rows only or no condition gains.  Learning ends when no bad row
+    is left or the next rule does not stand on the rows kept back; each rule
+    takes out ``MIN_COVER`` of these at least, so there are no more rules than
+    they allow.
     """
     rules: list[Rule] = []
-    while len(rules) < MAX_RULES and bad[~prune].any() and bad[prune].any():
+    while bad[~prune].any() and bad[prune].any():
         grown: list[Condition] = []
         rows, wrong = table[~prune], bad[~prune]
-        while len(grown) < MAX_CONDITIONS and not wrong.all():
+        while not wrong.all():
             gain, condition = _best_condition(rows, wrong)
             if condition is None:
                 break
@@ -203,7 +204,9 @@ def fit_rules(counts: DataFrame, labels: DataFrame, doc_id: str = "doc_id", labe
     """Rules for bad documents (label 0), from about ``MAX_LABELLED`` labelled rows, all if there are fewer.
 
     Documents whose labels are null or contradict each other teach nothing.
-    The rows taken are those with the smallest hashes of ``doc_id``.
+    The rows taken are those with the smallest hashes of ``doc_id``; of rows
+    that repeat an id, the one with the smallest features, so that no id brings
+    more than one row to the driver.
     """
     agreed = (
         labels.filter(F.col(label).isNotNull())
@@ -215,10 +218,14 @@ def fit_rules(counts: DataFrame, labels: DataFrame, doc_id: str = "doc_id", labe
     spread = F.xxhash64(F.col(doc_id), F.lit("quality"))
     # The share of the labels that makes up the sample is known before anything is sent to the driver.
     share = F.pmod("_spread", F.lit(2**30)) / F.lit(float(2**30))
+    one = F.min(F.struct(*features())).alias("_one")
     rows = (
         counts.join(agreed, doc_id)
-        .select(spread.alias("_spread"), "_label", *features())
+        .withColumn("_spread", spread)
         .filter(share * agreed.count() < MAX_LABELLED)
+        .groupBy(doc_id, "_spread", "_label")
+        .agg(one)
+        .select("_spread", "_label", "_one.*")
         .toPandas()
         .sort_values(["_spread", *FEATURES], ignore_index=True)
     )
@@ -245,7 +252,10 @@ def judge(
 
     Texts are counted in one pass; the counts, a narrow table, are written
     out and serve both for learning and for the verdicts.  Without usable
-    labels there are no rules, and only the base rule drops documents.
+    labels there are no rules, and only the base rule drops documents.  Null,
+    empty and blank texts count nothing and fail the base rule.  Repeated rows
+    and rows with a null id are judged each by its own text, and an empty table
+    gives an empty result.
     """
     counts = settle(text_counts(documents, doc_id, text), "text-counts")
     rules = fit_rules(counts, labels, doc_id)

@@ -61,3 +61,32 @@ def test_awkward_rows_and_no_labels(llm):
     assert all(r["kept"] != r["base_failed"] for r in found)
     assert {r["n_words"] for r in found if r["doc_id"] in (1, 2, 3)} == {0}
     assert qr.judge(documents(llm, odd_rows()).limit(0), labels)[0].count() == 0
+
+
+def test_more_than_a_dozen_kinds_are_all_learned():
+    """Fifteen kinds of bad row, each its own value range of one feature: no cap on rules or conditions."""
+    rng = np.random.default_rng(3)
+    n, names = 9000, list(qr.FEATURES)
+    table = rng.integers(0, 1000, (n, len(names)))
+    kind, own = rng.integers(0, 30, n), names.index("symbols")
+    table[:, own] = kind * 30 + rng.integers(0, 30, n)
+    bad = kind % 2 == 1
+    rules = qr.learn_rules(table, bad, np.arange(n) % 3 == 0)
+    judged = np.any([r.covers(table) for r in rules], axis=0)
+    assert len(rules) > 12 and (judged == bad).mean() > 0.98
+    deep = np.all(table[:, [i for i in range(6) if i != own]] >= 350, axis=1)
+    rules = qr.learn_rules(table, deep, np.arange(n) % 3 == 0)
+    assert max(len(r.conditions) for r in rules) > 4
+
+
+def test_a_repeated_id_comes_once(llm):
+    rows = [(1, f"text number {i} " * 30) for i in range(500)] + [(i, "other text " * 40) for i in range(2, 40)]
+    labels = llm.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    counts = qr.text_counts(documents(llm, rows))
+    seen, learn = [], qr.learn_rules
+    try:
+        qr.learn_rules = lambda table, *rest: seen.append(len(table)) or learn(table, *rest)
+        qr.fit_rules(counts, labels)
+    finally:
+        qr.learn_rules = learn
+    assert seen == [39]
