@@ -27,6 +27,11 @@ SMOOTHING = 0.2
 GRAM_WEIGHT = 0.4
 # Nats that a change of language between two words costs.
 SWITCH_PENALTY = 12.0
+# The score of a language that does not write in a word's script: no path ever takes it.
+EXCLUDED = -1e9
+# Beyond this, a gain settles that a text is not of one language, or cannot be.
+CLEAR_GAIN = 1e3
+MIN_BUCKETS = 64
 # A language writes in a script when this share of its letters is in it.
 SCRIPT_SHARE = 0.01
 UNIT_LETTERS = 24
@@ -66,7 +71,6 @@ _SCRIPT_NUMBER = {name: number for number, name in enumerate(SCRIPT_NAMES)}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 # What a letter's place in a word multiplies it by.
 _PLACES = np.multiply.accumulate(np.full(UNIT_LETTERS + 3, _MIX, np.uint64))
-_LETTERS = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"\S+")
 
 
@@ -78,7 +82,8 @@ def script_of(letter: str) -> str:
 
 def word_units(token: str) -> list[tuple[str, str]]:
     """The words of a token without spaces: (script, letters), cut where the script changes and when long."""
-    letters = "".join(_LETTERS.findall(token.lower()))
+    lower = token.lower()
+    letters = lower if lower.isalpha() else "".join(filter(str.isalpha, lower))
     if letters.isascii():
         runs = [("latin", letters)] if letters else []
     else:
@@ -154,18 +159,24 @@ def train(
     """Fit a model on rows with text and language.
 
     About ``docs_per_lang`` documents of each language are used, those with
-    the smallest hashes of ``spread_by``.  What comes to the driver is the
-    table of gram counts, at most ``TABLE_CELLS`` numbers: with more languages
-    there are fewer buckets to hash grams into.
+    the smallest hashes of ``spread_by`` and text.  What comes to the driver is
+    the table of gram counts, at most ``TABLE_CELLS`` numbers: beyond 256
+    languages there are fewer buckets to hash grams into, so that all scores
+    change with that number, and more languages than leave ``MIN_BUCKETS`` are
+    refused.  Rows without text or language teach nothing; without any other
+    the model knows no language.
     """
     rows = labelled.select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(spread_by), F.lit("lang")).alias("_h")
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(spread_by, text, F.lit("lang")).alias("_h")
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = settle(
         labelled.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("_docs")),
         "languages",
     )
-    langs = tuple(row["lang"] for row in sizes.select("lang").orderBy("lang").limit(TABLE_CELLS // 64).collect())
+    most = TABLE_CELLS // MIN_BUCKETS
+    langs = tuple(row["lang"] for row in sizes.select("lang").orderBy("lang").limit(most + 1).collect())
+    if len(langs) > most:
+        raise ValueError(f"more than {most} languages")
     if not langs:
         return LanguageModel((), np.zeros((1, 0), np.float32), {})
     buckets = MAX_BUCKETS
@@ -190,11 +201,17 @@ def train(
 
 
 class _WordScores:
-    """Tokens and the rows of their scores: -1 without letters, below -1 for a token of several words."""
+    """Tokens and the rows of their scores: -1 without letters, below -1 for a token of several words.
+
+    Scripts narrow the candidates: a language that does not use a word's script
+    has ``EXCLUDED`` there.  A word in a script that no language was seen in
+    scores zero for all and is no evidence.
+    """
 
     def __init__(self, model: LanguageModel) -> None:
         self.model, self.rows, self.several = model, {}, []
         self.table, self.used = np.zeros((1024, len(model.langs)), np.float32), 0
+        self.tells = np.zeros(1024, bool)
         n = len(model.langs)
         self.allowed = np.stack([model.in_script.get(s, np.zeros(n, bool)) for s in SCRIPT_NAMES])
 
@@ -204,12 +221,13 @@ class _WordScores:
         hashed, owners = gram_buckets(words, len(weights))
         scores = np.stack([np.bincount(owners, column[hashed], len(words)) for column in weights.T], axis=1)
         allowed = self.allowed[[_SCRIPT_NUMBER[s] for s in scripts]]
-        lowest = np.where(allowed, scores, np.inf).min(1, keepdims=True)
-        # A script that no language was seen in tells nothing.
-        scores = np.where(allowed, scores, np.where(np.isinf(lowest), 0.0, lowest - SWITCH_PENALTY))
+        tells = allowed.any(1)
+        scores = np.where(allowed, scores, np.where(tells, EXCLUDED, 0.0)[:, None])
         while self.used + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.tells = np.concatenate([self.tells, np.zeros_like(self.tells)])
         self.table[self.used : self.used + len(words)] = scores
+        self.tells[self.used : self.used + len(words)] = tells
         self.used += len(words)
 
     def learn(self, tokens: set[str]) -> None:
@@ -259,7 +277,8 @@ def one_language(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> tup
     at, own = np.arange(len(scores)), top[text]
     others = scores.astype(np.float64)
     others[at, own] = -np.inf
-    gain = others.max(1) - scores[at, own]
+    # A word the language is excluded from opens a path by itself; a clear loss bounds what can be made up for.
+    gain = np.clip(others.max(1) - scores[at, own], -CLEAR_GAIN, CLEAR_GAIN)
     after = np.cumsum(gain)
     after -= np.repeat(after[begins] - gain[begins], lengths)
     before = after - gain
@@ -278,8 +297,8 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.nd
     begins = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
     longest = int(lengths[0]) if len(lengths) else 0
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")  # texts with a word at this step
-    before = np.empty(scores.shape, np.int16)
-    own = np.arange(scores.shape[1], dtype=np.int16)[None, :]
+    before = np.empty(scores.shape, np.int32)
+    own = np.arange(scores.shape[1], dtype=np.int32)[None, :]
     best = scores[begins[: active[0]]].astype(np.float64) if longest else None
     for step in range(1, longest):
         n = active[step]
@@ -290,7 +309,7 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.nd
         at = begins[:n] + step
         before[at] = np.where(stays, own, top[:, None])
         best[:n] = np.where(stays, past, switched[:, None]) + scores[at]
-    labels = np.empty(len(scores), np.int16)
+    labels = np.empty(len(scores), np.int32)
     for step in range(longest - 1, -1, -1):
         n = active[step]
         later = active[step + 1] if step + 1 < longest else 0
@@ -325,19 +344,21 @@ def _label_texts(texts: list[str | None], cache: _WordScores, penalty: float) ->
     mixed = []
     for group in _groups(worded, limit):
         lengths = np.array([len(rows) for _, rows, _ in group], np.int64)
-        top, constant = one_language(cache.table[np.concatenate([rows for _, rows, _ in group])], lengths, penalty)
-        for one, lang, alone in zip(group, top.tolist(), constant.tolist()):
+        rows = np.concatenate([rows for _, rows, _ in group])
+        top, constant = one_language(cache.table[rows], lengths, penalty)
+        evidence = np.add.reduceat(cache.tells[rows], np.cumsum(lengths) - lengths, dtype=np.int64) / lengths
+        for one, lang, alone, share in zip(group, top.tolist(), constant.tolist(), evidence.tolist()):
             if alone:
                 text = texts[one[0]]
                 ends = len(text) - len(text.lstrip()), len(text.rstrip())
-                out[one[0]] = (langs[lang], 1.0, [{"lang": langs[lang], "start": ends[0], "end": ends[1]}])
+                out[one[0]] = (langs[lang], share, [{"lang": langs[lang], "start": ends[0], "end": ends[1]}])
             else:
                 mixed.append(one)
     for group in _groups(mixed, limit):
         lengths = np.array([len(rows) for _, rows, _ in group], np.int64)
         labels = best_paths(cache.table[np.concatenate([rows for _, rows, _ in group])], lengths, penalty)
-        for (i, _, tokens), own in zip(group, np.split(labels, np.cumsum(lengths)[:-1])):
-            counts = np.bincount(own, minlength=len(langs))
+        for (i, rows, tokens), own in zip(group, np.split(labels, np.cumsum(lengths)[:-1])):
+            counts = np.bincount(own[cache.tells[rows]], minlength=len(langs))
             lang = int(counts.argmax())
             out[i] = (langs[lang], float(counts[lang] / len(own)), _spans(texts[i], own, tokens, langs))
     return out
@@ -365,8 +386,10 @@ def language_of(
 ) -> Column:
     """Struct of ``lang``, ``score`` and ``spans`` of each whole text.
 
-    ``lang`` holds the most words (the first by name among equals) and
-    ``score`` is its share of them.  ``spans`` are the runs of one language as
+    ``lang`` holds the most words (the first by name among equals); ``score``
+    is its share of all words, of which those in a script that no language of
+    the model uses count for none, so that a text all in such a script has the
+    first language with score 0.  ``spans`` are the runs of one language as
     ranges of code points, end exclusive.  Text that is null, empty or without
     a letter, and any text under a model of no language, is ``und`` with score
     0 and no spans.
@@ -393,15 +416,25 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def detect(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``lang_pred``, ``score`` and ``spans`` of every row; other columns play no part."""
+    """``doc_id``, ``lang_pred``, ``score`` and ``spans`` of every row; other columns play no part.
+
+    Rows that repeat an id, or have none, are labelled each by its own text;
+    an empty table gives an empty result.
+    """
     found = documents.select(doc_id, language_of(documents.sparkSession, F.col(text), model).alias("_found"))
     return found.select(doc_id, F.col("_found.lang").alias("lang_pred"), "_found.score", "_found.spans")
 
 
-def keep_determined(documents: DataFrame, model: LanguageModel, text: str = "text", min_score: float = 0.5) -> DataFrame:
-    """Rows whose language is known and holds at least ``min_score`` of their words, as they are."""
+def keep_determined(documents: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """Rows with a word that tells a language, as they are, also where they mix several.
+
+    What goes has no letter (null and empty text too), or only words in scripts
+    that no language of the model uses.  Under a model of no language nothing
+    can be told, and all rows stay.
+    """
+    if not model.langs:
+        return documents
     found = documents.select(
         whole_rows(documents), language_of(documents.sparkSession, F.col(text), model).alias("_found")
     )
-    known = (F.col("_found.lang") != UNDETERMINED) & (F.col("_found.score") >= min_score)
-    return found.filter(known).select("_row.*")
+    return found.filter(F.col("_found.score") > 0).select("_row.*")
