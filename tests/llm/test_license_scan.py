@@ -1,4 +1,6 @@
 import re
+import time
+from itertools import accumulate
 
 from helpers import collected, documents, odd_rows
 
@@ -11,6 +13,10 @@ def test_pieces_make_up_the_notice():
         assert all(notice.words[at : at + len(s)] == s and s for s, at in notice.seeds)
 
 
+def begins_of(joined):
+    return [0, *accumulate(len(w) + 1 for w in joined.split(" "))][:-1]
+
+
 def slow_base(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     places = sorted(
@@ -73,4 +79,30 @@ def test_every_bounded_edit_is_found():
                 else:
                     text.insert(at, rng.choice("qzx"))
             joined = " ".join(("qq " + "".join(text) + " zz").split())
-            assert notice.label in {m[0] for m in search.matches(joined)}
+            assert notice.label in {m[0] for m in search.matches(joined, begins_of(joined))}
+
+
+def test_long_texts_take_linear_time():
+    """Ten megabytes of phrases in seconds; twice as many edited notices in about twice the time."""
+    search = ls.NoticeSearch(ls.NOTICES, ls.PHRASES)
+    began = time.time()
+    found = search.scan("MIT license, and the General Public License of some kind; " * 175_000)
+    assert found[1] == 350_000 and time.time() - began < 60
+    took = []
+    for n in (4000, 8000):
+        began = time.process_time()
+        found = search.scan("licensed under teh apache license version 2.0 or so. " * n)
+        took.append(time.process_time() - began)
+        assert len(found[7]) == n
+    assert took[1] < 3 * took[0]
+
+
+def test_notices_of_a_table(llm):
+    table = llm.createDataFrame(
+        [("x", "All Rights, Reserved by X!", 1, 5), ("x", "All Rights, Reserved by X!", 1, 6), (None, "a", 1, 0), ("y", " ..", 1, 0), ("z", "of z", None, 0)],
+        "label string, text string, edits int, extra int",
+    )
+    notices = ls.notices_from(table)
+    assert [(n.label, n.words, n.edits) for n in notices] == [("x", "all rights reserved by x", 1), ("z", "of z", 0)]
+    (row,) = collected(ls.scan_licenses(documents(llm, [(1, "all rihgts? all right reserved by x")]), notices=notices))
+    assert row["labels"] == ["x"] and row["matches"][0]["edits"] == 1
