@@ -1,6 +1,9 @@
 import random
 import re
+import sys
+import time
 
+import numpy as np
 import pytest
 from helpers import collected, documents, odd_rows
 
@@ -47,15 +50,15 @@ def cases():
     return items, rows
 
 
-@pytest.mark.parametrize("block_bytes", [dc.BLOCK_BYTES, 400])
-def test_against_brute_force(llm, cases, block_bytes):
+@pytest.mark.parametrize("most_built", [dc.BUILT_BYTES, 400])
+def test_against_brute_force(llm, cases, most_built):
     items, rows = cases
     bench = llm.createDataFrame([(i, t, "z", 1) for i, t in items], BENCH)
     docs = documents(llm, rows)
-    found = collected(dc.find_contamination(docs, bench, block_bytes=block_bytes))
+    found = collected(dc.find_contamination(docs, bench, most_built=most_built))
     got = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in found)
     assert got == slow(rows, items)
-    kept = dc.drop_contaminated(docs, bench, block_bytes=block_bytes)
+    kept = dc.drop_contaminated(docs, bench, most_built=most_built)
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(d for d, *_, bad in slow(rows, items) if not bad)
 
@@ -76,3 +79,33 @@ def test_empty_tables(llm, cases):
     assert dc.find_contamination(docs, bench).filter("n_hit > 0").count() == 0
     full = llm.createDataFrame([(i, t, "z", 1) for i, t in items], BENCH)
     assert dc.find_contamination(docs.limit(0), full).count() == 0
+
+
+def test_a_passage_in_many_items_is_one_window(llm):
+    """Twenty thousand items share a passage: it is held once, with its items, and a document pays for it once."""
+    passage = " ".join(f"p{k}" for k in range(20))
+    built = dc.WindowSet.of([(f"i{i:05d}", f"{passage} own{i}") for i in range(20_000)], 13)
+    hashes, places, begins, items = built.windows[13]
+    assert len(hashes) == 8 + 20_000 and len(places) == len(hashes) and begins[-1] == len(items)
+    began = time.time()
+    mask, found = built.hits(dc.folded_words(f"a b {passage} c"))
+    assert time.time() - began < 1 and mask.sum() == 20 and len(found) == 20_000
+
+
+def test_windows_that_share_a_hash_stay_apart(monkeypatch):
+    monkeypatch.setattr(dc, "_hash_at", lambda columns: np.zeros(len(columns[0]), np.uint64))
+    items = [("1", "a b c d"), ("2", "b c d e"), ("3", "a b c x")]
+    built = dc.WindowSet.of(items, 3)
+    for text, hit, names in (("z a b c z", 3, ["1", "3"]), ("c d e", 3, ["2"]), ("b c d", 3, ["1", "2"]), ("a c b", 0, [])):
+        mask, found = built.hits(dc.folded_words(text))
+        assert (mask.sum(), found) == (hit, names)
+
+
+def test_what_is_built_is_within_its_bound(llm):
+    rows = [(i, " ".join(f"word{i}x{k}" for k in range(60)), "z", 1) for i in range(300)]
+    bench = llm.createDataFrame(rows, BENCH)
+    bound = dc.built_bytes(dc.benchmark_items(bench, "item_id", "text"))
+    built = dc.WindowSet.of([(str(r[0]), r[1]) for r in rows], 13)
+    arrays = sum(a.nbytes for w in built.windows.values() for a in w) + built.words.nbytes
+    words = sum(sys.getsizeof(w) + sys.getsizeof(n) for w, n in built.vocabulary.items()) + sys.getsizeof(built.vocabulary)
+    assert arrays + words <= bound
