@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from helpers import collected, documents, odd_rows
 
 from commitloom.llm import substring_dedup as sd
@@ -63,3 +64,37 @@ def test_order_of_words_counts():
     one = sd.anchor_hashes(sd.joined_words(" ".join(f"a{i}" for i in range(80))), 50, cover, 31)
     two = sd.anchor_hashes(sd.joined_words(" ".join(f"a{i ^ 1}" for i in range(80))), 50, cover, 31)
     assert len(set(one.tolist())) == len(one) and not set(one.tolist()) & set(two.tolist())
+
+
+def test_copies_are_settled_by_extension(llm, monkeypatch):
+    """Whole copies, and near copies up to the change, hash none of the windows inside them."""
+    kept, write = {}, sd.settle
+    monkeypatch.setattr(sd, "settle", lambda df, label: kept.setdefault(label, write(df, label)))
+    words = [f"w{i}" for i in range(2000)]
+    changed = [*words[:1000], "new", *words[1001:]]
+    rows = [(i, " ".join(words)) for i in range(1, 30)] + [(50, " ".join(changed)), (60, "a few words")]
+    docs = documents(llm, rows)
+    assert found(docs) == expected(rows, 50)
+    assert kept["windows"].count() < 400
+
+
+def test_extension_from_anchor_to_anchor():
+    own, first = np.array([0, 10, 25, 60, 70, 100]), np.array([7, 17, 32, 67, 70, 200])
+    smaller, number = np.ones(6, bool), np.array([1, 1, 1, 1, 1, 1])
+    assert sd.extended(own, first, smaller, number, 20, 30) == [(0, 45)]
+    assert sd.extended(own, first, ~smaller, number, 20, 30) == []
+    assert sd.extended(own, first, smaller, np.array([1, 2, 2, 2, 2, 2]), 20, 30) == [(10, 45)]
+    assert sd.extended(own[:0], first[:0], smaller[:0], number[:0], 20, 30) == []
+
+
+def test_matches_at_other_distances_and_other_holders(llm):
+    """A passage after any number of words, with its anchors also in an earlier document that lacks the rest."""
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(120)]
+    rows = [(0, " ".join(w for k in range(0, 120, 22) for w in [*passage[k : k + 21], "x"]))]
+    for d in range(1, 40):
+        lead = [f"l{d}_{i}" for i in range(rng.randrange(0, 40))]
+        body = passage[rng.randrange(0, 30) : rng.randrange(60, 121)]
+        rows.append((d, " ".join([*lead, *body, *lead[::-1], *(passage[40:95] if d % 5 == 0 else [])])))
+    assert found(documents(llm, rows)) == expected(rows, 50)
+    assert found(documents(llm, rows), window=30, period=13) == expected(rows, 30)
