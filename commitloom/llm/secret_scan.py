@@ -48,17 +48,35 @@ BASE_KINDS = ("assign", "access", "hex")
 FINDING = "struct<rule: string, start: int, end: int>"
 
 
+# Digits of a blob's name that a folder of the ledger stands for: a run reads the folders it needs.
+PREFIX = 1
+
+
 def open_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger at ``path``, begun if there is none: ``blob``, the ``rules`` scanned, the ``findings``."""
+    """The ledger at ``path``, begun if there is none: ``blob``, the ``rules`` scanned, the ``findings``.
+
+    It lies in folders by the first digits of the blob (``prefix``).
+    """
     none = spark.range(0).select(
         F.lit("").alias("blob"),
         F.array().cast("array<string>").alias("rules"),
         F.array().cast(f"array<{FINDING}>").alias("findings"),
+        F.lit("").alias("prefix"),
     )
     none.write.mode("ignore").parquet(path)
     return spark.read.schema(none.schema).parquet(path)
 
 
+def _append(entries: DataFrame, path: str) -> None:
+    prefixed = entries.withColumn("prefix", F.substring("blob", 1, PREFIX)).repartition("prefix")
+    prefixed.write.mode("append").partitionBy("prefix").parquet(path)
+
+
+def _of_blobs(ledger: DataFrame, blobs: DataFrame) -> DataFrame:
+    """The entries of the blobs at hand; what else the ledger holds is not carried further."""
+    return ledger.join(blobs, ["prefix", "blob"], "left_semi")
+
+
 def _stretches(text: Column, rule: SecretRule) -> Column:
     """Each match's distance from the end of the one before, its length, and whether it counts.
 
@@ -90,12 +108,7 @@ def _scanned(texts: DataFrame, rules: Sequence[SecretRule]) -> DataFrame:
     each = [
         F.coalesce(F.when(F.array_contains("todo", rule.id), _stretches(F.col("text"), rule)), none) for rule in rules
     ]
-    raw = settle(
-        texts.select("blob", "todo", F.concat(*each).alias("_found"))
-        .groupBy("blob")
-        .agg(F.first("todo").alias("todo"), F.first("_found").alias("_found")),
-        "scanned-blobs",
-    )
+    raw = settle(texts.select("blob", "todo", F.concat(*each).alias("_found")), "scanned-blobs")
     so_far = Window.partitionBy("blob", "rule").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("size")).over(so_far).cast("int")
     findings = (
@@ -123,35 +136,53 @@ def scan_secrets(
 
     Every version of a text is a blob, named by its SHA-256; null counts as
     empty.  Only pairs of blob and rule version that the ledger does not hold
-    are scanned, each once, however many documents share the blob.  Findings go
-    to the ledger and from there to all documents with the blob, under the rule
-    versions given.  A rule's new version is scanned for in old blobs too; what
-    an old version found stays in the ledger and is not reported.
+    are scanned, each once: of the documents that share a blob, one brings its
+    text.  Findings go to the ledger and from there to all documents with the
+    blob, under the rule versions given.  A rule's new version is scanned for in
+    old blobs too; what an old version found stays in the ledger and is not
+    reported.  Of the ledger only entries of the blobs at hand are joined.
+
+    Rows that repeat an id, or have none, are reported each by its own text; an
+    empty table scans nothing.  A run that was broken off after writing is
+    repeated without harm: entries that stand twice are one.
     """
     spark = documents.sparkSession
     current = F.array(*[F.lit(rule.id) for rule in rules])
     whole = F.coalesce(F.col(text), F.lit(""))
     blobs = settle(documents.select(document_id(doc_id).alias("_id"), digest(whole).alias("blob")), "blobs")
+    distinct = settle(
+        blobs.groupBy("blob", "_id")
+        .agg(F.count("*").alias("_rows"))
+        .groupBy("blob")
+        .agg(F.min(F.struct("_id", "_rows")).alias("one"))
+        .select("blob", "one.*", F.substring("blob", 1, PREFIX).alias("prefix")),
+        "distinct-blobs",
+    )
+    names = distinct.select("prefix", "blob")
     known = (
-        open_ledger(spark, ledger_path)
+        _of_blobs(open_ledger(spark, ledger_path), names)
         .select("blob", F.explode("rules").alias("rule"))
         .groupBy("blob")
         .agg(F.collect_set("rule").alias("rules"))
     )
     none = F.array().cast("array<string>")
-    unseen = (
-        blobs.groupBy("blob")
-        .agg(F.min("_id").alias("_id"))
-        .join(known, "blob", "left")
+    unseen = settle(
+        distinct.join(known, "blob", "left")
         .withColumn("todo", F.array_except(current, F.coalesce("rules", none)))
         .filter(F.size("todo") > 0)
-        .select("blob", "_id", "todo")
+        .select("blob", "_id", "_rows", "todo"),
+        "unseen-blobs",
     )
     texts = documents.select(document_id(doc_id).alias("_id"), digest(whole).alias("blob"), whole.alias("text"))
-    new = _scanned(texts.join(settle(unseen, "unseen-blobs"), ["_id", "blob"]), rules)
-    new.write.mode("append").parquet(ledger_path)
+    once = texts.join(unseen.filter("_rows = 1"), ["_id", "blob"]).select("blob", "todo", "text")
+    repeated = unseen.filter("_rows > 1")
+    if not repeated.isEmpty():
+        # Of rows equal in id and text one is taken, before the shuffle where it can be.
+        firsts = texts.join(repeated, ["_id", "blob"]).groupBy("blob").agg(F.first("todo").alias("todo"), F.first("text").alias("text"))
+        once = once.unionByName(firsts)
+    _append(_scanned(once, rules), ledger_path)
     reported = settle(
-        open_ledger(spark, ledger_path)
+        _of_blobs(open_ledger(spark, ledger_path), names)
         .select("blob", F.filter("findings", lambda f: F.array_contains(current, f["rule"])).alias("findings"))
         .filter(F.size("findings") > 0)
         .groupBy("blob")
@@ -162,6 +193,11 @@ def scan_secrets(
     return blobs.join(reported, "blob", "left").select("_id", "blob", F.coalesce("findings", empty).alias("findings"))
 
 
+def first_part(doc_id: str = "doc_id") -> Column:
+    """Half of the documents, by a checksum of the id: what a ledger may hold before the rest comes."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 2 == 0
+
+
 def shown(found: DataFrame, rules: Sequence[SecretRule] = RULES) -> DataFrame:
     """Counts of the base kinds and the spans as text, by start, then by the order of the rules."""
     names = F.array(*[F.lit(rule.name) for rule in rules])

@@ -65,3 +65,28 @@ def test_only_unseen_pairs_are_scanned(llm):
 def test_empty(llm):
     path = fresh_path(llm, "ledger")
     assert ss.scan_secrets(documents(llm, odd_rows()).limit(0), path).count() == 0
+
+
+def test_the_second_scan_reads_the_rest(llm):
+    """The registered query's two steps: what the first half brought is not scanned again, and the results are one scan's."""
+    docs, path, once = documents(llm, [*odd_rows(), *ROWS]), fresh_path(llm, "ledger"), fresh_path(llm, "ledger")
+    ss.scan_secrets(docs.filter(ss.first_part()), path)
+    first = {r["blob"] for r in collected(ss.open_ledger(llm, path))}
+    found = collected(ss.shown(ss.scan_secrets(docs, path)))
+    both = [r["blob"] for r in collected(ss.open_ledger(llm, path))]
+    assert 0 < len(first) < len(both) == len(set(both)) == len({t or "" for _, t, *_ in [*odd_rows(), *ROWS]})
+    assert sorted(map(str, found)) == sorted(map(str, collected(ss.shown(ss.scan_secrets(docs, once)))))
+
+
+def test_equal_rows_are_scanned_once(llm):
+    rows = [(None, f"token = '{HEX}'")] * 50 + [(7, f"token = '{HEX}'")] * 3 + [(8, "plain")] * 9
+    path = fresh_path(llm, "ledger")
+    found = collected(ss.shown(ss.scan_secrets(documents(llm, rows), path)))
+    assert len(found) == 62 and sum(r["n_hex"] for r in found) == 53 and ss.open_ledger(llm, path).count() == 2
+
+
+def test_a_ledger_of_other_blobs_is_left_alone(llm):
+    path = fresh_path(llm, "ledger")
+    ss.scan_secrets(documents(llm, [(i, f"token: secret{i}") for i in range(40)]), path)
+    found = collected(ss.shown(ss.scan_secrets(documents(llm, [(1, "token: secret3"), (2, "new AKIA" + "A" * 16)]), path)))
+    assert sorted(r["n_assign"] for r in found) == [0, 1] and ss.open_ledger(llm, path).count() == 41
