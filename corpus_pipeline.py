@@ -10,34 +10,53 @@ from commitloom.session import fresh_path, tune
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known and holds at least half of their words.
+    """Documents with a word that tells their language.
 
-    The model is learned from the labelled documents that came in.
+    The model is learned from the labelled documents that came in; without
+    labels all documents stay.  Texts that are null, empty or without a letter
+    go; repeated rows stay repeated; an empty table stays empty.
     """
     ship(tune(spark))
     return language_id.keep_determined(docs, language_id.train(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest ``doc_id``."""
+    """One document of each group of near copies, the one with the smallest ``doc_id``.
+
+    Documents without an id, or with one that others repeat, are told apart by
+    their texts; rows equal in both count once.  Null and empty texts are copies
+    of each other; an empty table stays empty.
+    """
     ship(tune(spark))
     return simhash.drop_near_duplicates(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words are in benchmark windows."""
+    """Documents of which less than a twentieth of the words are in benchmark windows.
+
+    Null and empty texts have no words and stay, as do repeated rows, each
+    judged by its own text; an empty table, or an empty benchmark, changes nothing.
+    """
     ship(tune(spark))
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it, which may be not at all."""
+    """Each document as often as the mix of sources takes it, which may be not at all.
+
+    A null source is a source; null and empty texts have no words; rows equal in
+    id and text share their copies; an empty table stays empty.
+    """
     ship(tune(spark))
     return mixing.mixed_documents(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their ``shard``, ``slot`` and ``size``; shards have nearly equal bytes."""
+    """The documents with their ``shard``, ``slot`` and ``size``; shards have nearly equal bytes.
+
+    Null and empty texts count one byte; equal texts, repeated rows and rows
+    without an id are placed each by itself; an empty table gives no row.
+    """
     ship(tune(spark))
     return sharding.shard(docs)
 
