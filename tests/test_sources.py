@@ -1,9 +1,14 @@
 """Reading and writing."""
 
+import gzip
 import json
+import random
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from commitloom.schemas import COMMIT_RECORD
@@ -110,3 +115,103 @@ def test_normalise_stage_from_file_to_file(spark, tmp_path):
     normalize_jsonl(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["commit_msg", "change"])
     (row,) = spark.read.text(str(tmp_path / "out")).collect()
     assert json.loads(row["value"]) == {"commit_msg": "a b\nc", "change": 5, "more": "x  y"}
+
+
+def test_rejects_have_their_line_numbers(spark, tmp_path):
+    """Many files, one of them larger than a split, and one compressed: numbers as a plain count gives them."""
+    rng = random.Random(2)
+    want = []
+    for k in range(7):
+        lines = [rng.choice([*GOOD, *BAD, "", " \t", '{"a":"' + "é" * rng.randrange(90) + '"}']) for _ in range(2000 if k == 3 else 40)]
+        data = ("\n".join(lines) + ("\n" if k % 2 else "")).encode()
+        name = f"f{k}.jsonl" + (".gz" if k == 5 else "")
+        (tmp_path / name).write_bytes(gzip.compress(data) if k == 5 else data)
+        kept = lines if lines[-1] or k % 2 else lines[:-1]
+        bad = [(i, line) for i, line in enumerate(kept, 1) if line not in GOOD and not line.startswith('{"a":"é') and line != '{"a":""}']
+        want += [(name, i, line, "blank" if not line.strip() else "not a JSON record") for i, line in bad]
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows, rejects = jsonl.read_jsonl_with_rejects(spark, str(tmp_path), SCHEMA)
+        got = [(r["file"].rsplit("/", 1)[1], r["line_no"], r["line"], r["reason"]) for r in rejects.collect()]
+        assert sorted(got) == sorted(want)
+        assert spark.read.text(str(tmp_path / "f3.jsonl")).rdd.getNumPartitions() > 3
+        plain = jsonl.read_jsonl(spark, str(tmp_path), SCHEMA)
+        assert sorted(map(tuple, rows.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
+def test_rejects_of_clean_files(spark, tmp_path):
+    rows, rejects = jsonl.read_jsonl_with_rejects(spark, write(tmp_path, GOOD), SCHEMA, whole_line="line")
+    assert rows.count() == len(GOOD) and "line" in rows.columns and rejects.count() == 0
+
+
+ORDERED = StructType([StructField("n", LongType()), StructField("text", StringType())])
+
+
+def ordered_rows(hot, others=6):
+    rng = random.Random(9)
+    rows = [("hot/one", i, f"t{i}") for i in range(hot)] + [(f"o/{k}", i, f"t{i}") for k in range(others) for i in range(5)]
+    rng.shuffle(rows)
+    return rows
+
+
+def files_of(path):
+    return {str(f.relative_to(path)): f.read_bytes() for f in path.rglob("*") if f.is_file()}
+
+
+def test_parts_hold_a_repository_in_order(spark, tmp_path):
+    rows = ordered_rows(900)
+    path = tmp_path / "out"
+    df = spark.createDataFrame(rows, "repo string, n long, text string").repartition(7)
+    jsonl.write_ordered_by_repo(df, str(path), [F.col("n").desc()], part_rows=70)
+    parts = sorted((r["repo"], r["part"], r["file"], r["bytes"]) for r in jsonl.manifest(spark, str(path)).collect())
+    hot = [p for p in parts if p[0] == "hot/one"]
+    assert [p[1] for p in hot] == list(range(1, len(hot) + 1)) and len(hot) >= 900 // 70
+    found = []
+    for _, _, file, size in hot:
+        data = Path(unquote(urlparse(file).path)).read_bytes()
+        lines = data.decode().splitlines()
+        assert len(data) == size and len(lines) <= 70
+        found += [json.loads(line)["n"] for line in lines]
+    assert found == list(range(899, -1, -1))
+    back = jsonl.read_ordered(spark, str(path), ORDERED).collect()
+    want = {(repo, n): (900 if repo == "hot/one" else 5) - n for repo, n, _ in rows}
+    assert {(r["repo"], r["n"]): r["position"] for r in back} == want and len(back) == len(rows)
+
+
+def test_a_rerun_leaves_other_repositories_alone(spark, tmp_path):
+    path = tmp_path / "out"
+    df = spark.createDataFrame(ordered_rows(300), "repo string, n long, text string")
+    jsonl.write_ordered_by_repo(df, str(path), [F.col("n")], part_rows=40)
+    before = files_of(path)
+    fewer = df.filter("repo in ('hot/one', 'o/2') and n < 3").withColumn("text", F.lit("again"))
+    for _ in range(2):
+        jsonl.write_ordered_by_repo(fewer, str(path), [F.col("n")], only_these=True)
+    after = files_of(path)
+    others = {name for name in before if name.startswith("repo=o%2F") and not name.startswith("repo=o%2F2")}
+    assert others and all(after[name] == before[name] for name in others)
+    assert not any(name in after for name in before if name.startswith(("repo=hot", "repo=o%2F2/part")))
+    back = jsonl.read_ordered(spark, str(path), ORDERED)
+    assert {(r["repo"], r["n"]) for r in back.filter("text = 'again'").collect()} == {(p, n) for p in ("hot/one", "o/2") for n in range(3)}
+    assert back.count() == 6 + 5 * 5
+
+
+def test_a_run_that_fails_leaves_the_folder(spark, tmp_path):
+    path = tmp_path / "out"
+    df = spark.createDataFrame(ordered_rows(30), "repo string, n long, text string")
+    jsonl.write_ordered_by_repo(df, str(path), [F.col("n")])
+    before = files_of(path)
+    broken = df.withColumn("text", F.when(F.col("n") == 3, F.raise_error(F.lit("stop"))).otherwise(F.col("text")))
+    with pytest.raises(PySparkException, match="stop"):
+        jsonl.write_ordered_by_repo(broken, str(path), [F.col("n")], only_these=True)
+    assert {k: v for k, v in files_of(path).items() if k.startswith("repo=")} == {k: v for k, v in before.items() if k.startswith("repo=")}
+
+
+def test_rows_without_a_repository_are_one(spark, tmp_path):
+    rows = [(None, 2, "b"), ("", 1, "a"), ("r", 1, "c")]
+    jsonl.write_ordered_by_repo(spark.createDataFrame(rows, "repo string, n long, text string"), str(tmp_path / "out"), [F.col("n")])
+    back = jsonl.read_ordered(spark, str(tmp_path / "out"), ORDERED).collect()
+    assert sorted((r["repo"] or "", r["position"], r["text"]) for r in back if r["repo"]) == [("r", 1, "c")]
+    assert len(back) == 1 + 2
