@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitloom import fixed_values as fv
 from commitloom.operators.ranking import first_rows
 from commitloom.session import settle
 
+# Code points of a gram that names are indexed by.
+GRAM_SIZE = 3
+
 
 def filter_catalog(
     catalog: DataFrame, min_stars: int = fv.MIN_STARS, exclude_archived: bool = False
@@ -39,41 +42,51 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
+def _grams(text: Column, size: int) -> Column:
+    """The different stretches of ``size`` code points, or none."""
+    begins = F.sequence(F.lit(1), F.length(text) - (size - 1))
+    found = F.array_distinct(F.transform(begins, lambda at: F.substring(text, at, F.lit(size))))
+    return F.when(F.length(text) >= size, found).otherwise(F.array().cast("array<string>"))
+
+
 def exclude_by_substring(
-    df: DataFrame, column: str, exclusions: DataFrame, exact: bool = False
+    df: DataFrame, column: str, exclusions: DataFrame, exact: bool = False, gram_size: int = GRAM_SIZE
 ) -> DataFrame:
     """Rows whose ``column`` contains none of the strings in ``exclusions.s``.
 
-    A name contains a string exactly when one of its own substrings of that
-    string's length equals it.  So each distinct name is spread into its
-    substrings of the lengths that occur and matched by equality, which Spark
-    can hash, broadcast or shuffle by size; no name is compared with every
-    string.  What matched is settled before it meets the rows, so that a name
-    with many copies can be split.
+    Names are indexed by their grams, stretches of ``gram_size`` code points,
+    of which a name has no more than code points.  Each string is looked for
+    by the one of its grams that the fewest names have, its seed; a name that
+    has the seed is then searched for the string.  Strings shorter than a gram
+    are grams themselves; a string one of whose grams no name has is in none.
+    No name is compared with every string, and the seeds meet the grams in an
+    equality join that Spark can hash, broadcast or split by size.  What
+    matched is settled before it meets the rows, so that a name with many
+    copies can be split.
+
+    A null name contains nothing and a null string is in no name; the empty
+    string is in every name that is not null.
     """
     strings = exclusions.select(F.col("s").alias("_excluded")).filter(F.col("_excluded").isNotNull()).distinct()
     if exact:
         return df.join(settle(strings.withColumnRenamed("_excluded", column), "excluded"), column, "left_anti")
-    lengths = strings.agg(F.sort_array(F.collect_set(F.length("_excluded"))))
-    name = F.col(column)
-    pieces = F.flatten(
-        F.transform(
-            F.filter(F.col("_lengths"), lambda size: size <= F.length(name)),
-            lambda size: F.transform(
-                F.sequence(F.lit(1), F.length(name) - size + 1), lambda at: name.substr(at, size)
-            ),
-        )
-    )
-    matched = (
-        df.select(column)
-        .filter(name.isNotNull())
-        .distinct()
-        .withColumn("_lengths", lengths.scalar())
-        .select(column, F.explode(F.array_distinct(pieces)).alias("_excluded"))
-        .join(strings, "_excluded", "left_semi")
-        .select(column)
-        .distinct()
-    )
+    strings = settle(strings, "exclusions")
+    name, string = F.col(column), F.col("_excluded")
+    sizes = [row["n"] for row in strings.select(F.least(F.length(string), F.lit(gram_size)).alias("n")).distinct().collect()]
+    names = df.select(column).filter(name.isNotNull()).distinct()
+    if 0 in sizes:
+        matched = names
+    elif not sizes:
+        return df
+    else:
+        each = F.flatten(F.array(*[_grams(name, size) for size in sizes]))
+        index = settle(names.select(column, F.explode(each).alias("_gram")), "name-grams")
+        frequency = index.groupBy("_gram").agg(F.count("*").alias("_names"))
+        own = F.coalesce(*[F.when(F.least(F.length(string), F.lit(gram_size)) == size, _grams(string, size)) for size in sizes])
+        rarest = F.min(F.struct(F.coalesce("_names", F.lit(0)).alias("names"), F.col("_gram").alias("gram"))).alias("_seed")
+        seeds = strings.select("_excluded", F.explode(own).alias("_gram")).join(frequency, "_gram", "left")
+        seeds = seeds.groupBy("_excluded").agg(rarest).filter("_seed.names > 0").select("_excluded", F.col("_seed.gram").alias("_gram"))
+        matched = index.join(settle(seeds, "seeds"), "_gram").filter(F.contains(name, string)).select(column).distinct()
     return df.join(settle(matched, "excluded"), column, "left_anti")
 
 

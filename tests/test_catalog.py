@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from commitloom.operators import catalog
 
 
@@ -45,13 +47,25 @@ def test_exclusion_is_by_substring(spark):
     assert excluded(spark, listed, ["longer than any name"]) == sorted(listed)
 
 
-def test_exclusion_against_brute_force(spark):
+@pytest.mark.parametrize("gram_size", [1, 2, 3, 5])
+@pytest.mark.parametrize("shortest", [1, 2, 4])
+def test_exclusion_against_brute_force(spark, gram_size, shortest):
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("ab/é\U0001f600") for _ in range(n))
     listed = [word(rng.randrange(1, 12)) for _ in range(300)] + ["aaaa"] * 100
-    strings = [word(rng.randrange(2, 6)) for _ in range(25)]
+    strings = [word(rng.randrange(shortest, 6)) for _ in range(25 if shortest > 1 else 2)]
     want = sorted(n for n in listed if not any(s in n for s in strings))
-    assert excluded(spark, listed, strings) == want
+    assert excluded(spark, listed, strings, gram_size=gram_size) == want
+
+
+def test_a_name_gives_no_more_rows_than_its_length(spark, monkeypatch):
+    """Strings of thirty lengths: the index holds a row per place of a name, whatever their number."""
+    kept, write = {}, catalog.settle
+    monkeypatch.setattr(catalog, "settle", lambda df, label: kept.setdefault(label, write(df, label)))
+    name = "".join(chr(0x4E00 + i) for i in range(200))
+    assert excluded(spark, [name, "other"], [name[i : i + 3 + i] for i in range(30)]) == ["other"]
+    assert kept["name-grams"].count() <= len(name) + len("other")
+    assert kept["seeds"].count() == 30
 
 
 def test_exclusion_compares_nothing_pairwise(spark, monkeypatch):
@@ -65,7 +79,7 @@ def test_exclusion_compares_nothing_pairwise(spark, monkeypatch):
 
     monkeypatch.setattr(catalog, "settle", look)
     plans.append(catalog.exclude_by_substring(df, "full_name", ex)._jdf.queryExecution().executedPlan().toString())
-    assert len(plans) == 2
+    assert len(plans) == 5
     assert not any("NestedLoop" in plan or "Cartesian" in plan for plan in plans)
 
 
