@@ -48,21 +48,22 @@ WHITESPACE_CODE_POINTS = (
 
 # --- fixed values: code point ranges kept by the character filter --------------
 KEPT_RANGES = (
-    (0x0009, 0x000A),
+    (0x0009, 0x0009),
+    (0x000A, 0x000A),
     (0x0020, 0x007E),
     (0x00A0, 0x00A0),
-    (0x0400, 0x04FF),
-    (0x0600, 0x06FF),
     (0x2000, 0x200F),
     (0x2028, 0x202F),
-    (0x2060, 0x206F),
     (0x3000, 0x303F),
+    (0x4E00, 0x9FFF),
+    (0x3400, 0x4DBF),
+    (0xF900, 0xFAFF),
     (0x3040, 0x309F),
     (0x30A0, 0x30FF),
-    (0x3400, 0x4DBF),
-    (0x4E00, 0x9FFF),
     (0xAC00, 0xD7AF),
-    (0xF900, 0xFAFF),
+    (0x0600, 0x06FF),
+    (0x0400, 0x04FF),
+    (0x2060, 0x206F),
 )
 
 # --- fixed values: lowest code point each normalisation form can change ---------
@@ -77,6 +78,5 @@ LABEL_STYLE = "Code style guidelines: "
 LABEL_MESSAGE = "Commit message:"
 INSTRUCTION = (
     "You are an AI assistant that writes concise, high-quality Git commit messages.\n"
-    "Task: Refer to the information provided, and then write a concise, imperative "
-    "commit message describing the change.\n\n"
+    "Task: Refer to the information provided, and then write a concise, imperative commit message describing the change.\n\n"
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -23,6 +24,9 @@ def _ranges(ranges: Iterable[tuple[int, int]]) -> str:
     return "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in merged)
 
 
+# Runs of code points that a normalisation form leaves alone count from this many on.
+SHORTEST_RUN = 16
+
 _WHITESPACE = "".join(map(chr, fv.WHITESPACE_CODE_POINTS))
 _WHITESPACE_CLASS = _ranges((point, point) for point in fv.WHITESPACE_CODE_POINTS)
 # Runs to collapse: all but a lone plain space, which would only be replaced by
@@ -80,11 +84,41 @@ def is_bot(author: Column) -> Column:
     return F.coalesce(author, F.lit("")).rlike(unicode_pattern(fv.BOT_AUTHOR, ignore_case=True))
 
 
+@cache
+def _settled_ranges(form: str) -> tuple[tuple[int, int], ...]:
+    """Long runs of code points that the form leaves alone whatever stands beside them.
+
+    A code point is left alone if the form maps it to itself, it has no
+    combining class, and no composed character goes on with it.  The planes from
+    the fourth on, where hardly anything is assigned, are not looked at.
+    """
+    points = [p for p in range(0x30000) if not 0xD800 <= p <= 0xDFFF]
+    follows = {ord(c) for p in points for c in unicodedata.normalize("NFD", chr(p))[1:]}
+    kept = [p for p in points if p not in follows and not unicodedata.combining(chr(p)) and unicodedata.normalize(form, chr(p)) == chr(p)]
+    runs: list[list[int]] = []
+    for p in kept:
+        if runs and p == runs[-1][1] + 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    return tuple((low, high) for low, high in runs if high - low >= SHORTEST_RUN)
+
+
+def may_change(text: Column, form: str = "NFC") -> Column:
+    """Whether the form can change a text: a quick check that reads it and keeps it where it is.
+
+    Most text lies below the first code point that can change at all; other
+    text is held against the runs that never do.
+    """
+    first = fv.FIRST_UNSTABLE[form]
+    settled = _ranges([(0, first - 1), *(r for r in _settled_ranges(form) if r[0] >= first)])
+    return text.rlike(rf"[\x{{{first:X}}}-\x{{10FFFF}}]") & text.rlike(f"[^{settled}]")
+
+
 def unicode_normalize(text: Column, form: str = "NFC") -> Column:
     """Unicode normalisation: the one function Spark has no built-in for.
 
-    Text whose code points all lie below the first one the form can change
-    never leaves the JVM.
+    Text that the form cannot change, by ``may_change``, never leaves the JVM.
     """
     if form not in fv.FIRST_UNSTABLE:
         raise ValueError(f"unknown normalisation form {form!r}")
@@ -93,8 +127,7 @@ def unicode_normalize(text: Column, form: str = "NFC") -> Column:
         return values.map(lambda v: unicodedata.normalize(form, v), na_action="ignore")
 
     as_column = F.pandas_udf(normalise, "string")
-    may_change = text.rlike(rf"[\x{{{fv.FIRST_UNSTABLE[form]:X}}}-\x{{10FFFF}}]")
-    return F.coalesce(as_column(F.when(may_change, text)), text)
+    return F.coalesce(as_column(F.when(may_change(text, form), text)), text)
 
 
 def to_halfwidth(text: Column) -> Column:
