@@ -40,11 +40,7 @@ def _cut(text: str, size: int) -> str:
 
 def _clean(message: str) -> str:
     out = _strip(_line(_strip(message)))
-    for pattern in (
-        r"(?i)\b(fixes|closes|resolves|related|addresses?)\s*#[0-9]+\b",
-        r"\s*\(#[0-9]+\)",
-        r"\b#[0-9]+\b",
-    ):
+    for pattern in ("(?i)" + fv.ISSUE_PHRASE, fv.ISSUE_IN_PARENTHESES, fv.ISSUE_GLUED):
         out = f"regexp_replace({out}, '{pattern}', '', 'g')"
     out = rf"regexp_replace({out}, '\s+', ' ', 'g')"
     return f"trim({_strip(out)}, '{fv.SUBJECT_PUNCTUATION}')"
@@ -130,7 +126,7 @@ select repo, case c_custkey % 4 when 2 then 'CONTRIBUTING.md' when 3 then 'STYLE
     "repo_catalog": """
 select distinct concat('own', page_id % 23, '/', lang, '-', source) as full_name, lang as language,
        n_chars as stars, doc_id % 5 = 0 as archived
-from pages join documents on doc_id = page_id""",
+from documents cross join (select count(*) as np from pages) k join pages on page_id = doc_id % np""",
     "repositories": "select concat('own', c_custkey % 7, '/repo', c_custkey) as repo from customer",
     "licences": """
 select concat('own', c_custkey % 7, '/repo', c_custkey) as repo,
@@ -147,6 +143,32 @@ select repo, commit_id, case when o_totalprice > 480000 then 'gone-' || commit_i
 from (select concat('own', o_custkey % 7, '/repo', o_custkey) as repo, sha1(concat('', o_orderkey)) as commit_id,
              o_totalprice, lag(sha1(concat('', o_orderkey)))
              over (partition by o_custkey order by o_orderdate, o_orderkey) as previous from orders)""",
+    "branching": """
+select repo, commit_id, committed_at, position, list_filter([case when o_totalprice > 480000 then 'gone-' || commit_id
+         else previous end, case when position % 4 = 0 then earlier end], lambda p: p is not null) as parents
+from (select concat('own', o_custkey % 7, '/repo', o_custkey) as repo, sha1(concat('', o_orderkey)) as commit_id, o_totalprice,
+             o_orderdate + case when o_orderkey % 6 = 0 then interval 400 days else interval 0 days end as committed_at,
+             row_number() over w as position, lag(sha1(concat('', o_orderkey)), 1) over w as previous,
+             lag(sha1(concat('', o_orderkey)), 3) over w as earlier
+      from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey))""",
+    "refs": """
+select b.repo, b.commit_id from branching b join (select repo, max(position) as newest from branching group by repo) n
+  on b.repo = n.repo and b.position = case when right(b.repo, 1) = '2' then least(2, newest) else newest end
+where right(b.repo, 1) <> '1'""",
+    "edges": "select repo, commit_id, unnest(parents) as parent from branching",
+    "reached": """
+select repo, commit_id from refs
+union
+select e.repo, e.parent from reached r join edges e on e.repo = r.repo and e.commit_id = r.commit_id
+  join branching b on b.repo = e.repo and b.commit_id = e.parent""",
+    "walked": """
+select repo, commit_id, [struct_pack(age := -epoch_us(committed_at), id := commit_id)] as key
+from refs join branching using (repo, commit_id)
+union
+select b.repo, b.commit_id, list_append(list_filter(w.key, lambda k: k > struct_pack(age := -epoch_us(b.committed_at),
+  id := b.commit_id)), struct_pack(age := -epoch_us(b.committed_at), id := b.commit_id))
+from walked w join edges e on e.repo = w.repo and e.commit_id = w.commit_id
+  join branching b on b.repo = e.repo and b.commit_id = e.parent""",
     "styles": _styles(fv.MAX_STYLE_SIZE),
     "short_styles": _styles(MAX_STYLE),
     "ranked": f"""
@@ -173,6 +195,7 @@ select kept.repo, kept.commit_key, commit_msg, coalesce(change, '') as change, r
 from kept left join diffs using (commit_key) left join styles using (repo) left join licences using (repo)
      left join sources using (repo)""",
 }
+_RECURSIVE = {"reached", "walked"}
 _NEEDS = {
     "repo_files": ["styled"],
     "styles": ["repo_files"],
@@ -182,6 +205,10 @@ _NEEDS = {
     "running": ["patches"],
     "diffs": ["running"],
     "short_diffs": ["running"],
+    "refs": ["branching"],
+    "edges": ["branching"],
+    "reached": ["refs", "edges"],
+    "walked": ["refs", "edges"],
     "kept": ["recent"],
     "records": ["kept", "diffs", "styles", "licences", "sources"],
     "profile": ["grams"],
@@ -226,16 +253,35 @@ def oracle(name: str, select: str, *needs: str, **extra: str) -> None:
 
     for view in needs:
         visit(view)
-    # Read more than once, so kept rather than expanded again.
-    parts = [f"{view} as materialized ({_VIEWS[view]})" for view in order]
+    # Read more than once, so kept rather than expanded again; what names itself is kept as it is.
+    parts = [f"{view} as {'' if view in _RECURSIVE else 'materialized '}({_VIEWS[view]})" for view in order]
     parts += [f"{view} as materialized ({text})" for view, text in extra.items()]
-    ORACLES[name] = ("with " + ",\n".join(parts) + "\n" if parts else "") + select
+    ORACLES[name] = ("with recursive " + ",\n".join(parts) + "\n" if parts else "") + select
 
 
 # --- sources and sinks -------------------------------------------------------------
 
 oracle("jsonl_scan_skip", "select doc_id, text, lang from documents")
 oracle("jsonl_roundtrip", "select doc_id, text, nullif(lang, 'fr') as lang from documents")
+oracle(
+    "jsonl_rejects",
+    """with numbered as (select doc_id // 500 as bucket, doc_id, text, lang,
+         9 * (row_number() over (partition by doc_id // 500 order by doc_id) - 1) as before from documents),
+       broken as (select bucket, before, unnest([2, 4, 5, 6, 7, 8, 9]) as nth from numbered)
+       select bucket, before + nth as line_no, case when nth = 2 then 'blank' else 'not a JSON record' end as reason from broken""",
+)
+oracle(
+    "jsonl_ordered",
+    """select repo, commit_key, row_number() over (partition by repo order by committed_at desc, commit_key) as position
+       from commits""",
+    "commits",
+)
+oracle(
+    "jsonl_rerun",
+    """select repo, commit_key, position, case when substr(repo, 4, 1) < '4' then 'rerun' else author_name end as author_name
+       from (select *, row_number() over (partition by repo order by committed_at desc, commit_key) as position from commits)""",
+    "commits",
+)
 oracle("jsonl_by_repo", "select repo, commit_key, author_name from commits", "commits")
 oracle("repo_list_scan", "select full_name from repo_catalog", "repo_catalog")
 oracle("repo_list_sink", "select distinct full_name from repo_catalog", "repo_catalog")
@@ -285,8 +331,27 @@ oracle(
     "parented",
 )
 
+oracle(
+    "reachable_integrity",
+    """select repo, case when repo not in (select repo from refs) then 'no HEAD'
+                        when repo in (select e.repo from reached r join edges e using (repo, commit_id)
+                             where e.parent not in (select commit_id from branching)) then 'missing parent'
+                        else 'ok' end as reason
+       from repositories""",
+    "repositories",
+    "reached",
+)
+
 # --- commits ---------------------------------------------------------------------------
 
+oracle("reachable_commits", "select repo, commit_id from reached", "reached")
+oracle(
+    "walk_order",
+    """select repo, commit_id, row_number() over (partition by repo order by key) as position
+       from (select repo, commit_id, min(key) as key from walked group by repo, commit_id)""",
+    "walked",
+)
+
 oracle("drop_merges", "select commit_key, n_parents from commits where n_parents <= 1", "commits")
 oracle(
     "newest_per_repo",

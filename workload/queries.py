@@ -20,12 +20,13 @@ from commitloom.operators import (
     repo_meta,
     samples,
     token_rows,
+    walk,
 )
 from commitloom.plans.commit_records import commit_records
 from commitloom.plans.normalize_jsonl import normalize_jsonl
 from commitloom.plans.repo_list import repository_list
 from commitloom.plans.training_rows import history_to_samples
-from commitloom.session import fresh_path, tune
+from commitloom.session import fresh_path, settle, tune
 from commitloom.sources import jsonl, repo_list
 from workload import views
 from workload.views import table
@@ -89,6 +90,58 @@ def jsonl_by_repo(spark, sf_dir):
     return jsonl.read_jsonl(spark, path, schema, mode="fail")
 
 
+@query
+def jsonl_rejects(spark, sf_dir):
+    """Nine lines a document, in files of 500 documents: what is left out, by its place in the file."""
+    line = F.to_json(F.struct("doc_id", "text", "lang"))
+    lines = F.array(
+        line,
+        F.lit(" \t"),
+        F.concat(F.lit(" "), line),
+        F.expr("left(line, length(line) - 1)"),
+        F.concat("line", "line"),
+        F.concat("line", F.lit(",")),
+        F.lit("[1]"),
+        F.lit("null"),
+        F.concat("line", F.lit("]")),
+    )
+    documents = _documents(spark, sf_dir).withColumns({"line": line, "bucket": F.floor(F.col("doc_id") / 500)})
+    path = fresh_path(spark, "rejects")
+    placed = documents.repartition("bucket").sortWithinPartitions("bucket", "doc_id")
+    placed.select("bucket", F.explode(lines).alias("value")).write.partitionBy("bucket").text(path)
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType())])
+    _, rejects = jsonl.read_jsonl_with_rejects(spark, path, schema)
+    bucket = F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("long").alias("bucket")
+    return rejects.select(bucket, "line_no", "reason")
+
+
+def _newest_first() -> list[Column]:
+    return [F.col("committed_at").desc(), F.col("commit_key")]
+
+
+_WRITTEN = StructType([StructField("commit_key", LongType()), StructField("author_name", StringType())])
+
+
+@query
+def jsonl_ordered(spark, sf_dir):
+    """Lines of a repository as its parts give them, the newest commit first."""
+    path = fresh_path(spark, "ordered")
+    commits = views.commits(spark, sf_dir).select("repo", "commit_key", "committed_at", "author_name")
+    jsonl.write_ordered_by_repo(commits, path, _newest_first(), part_rows=8)
+    return jsonl.read_ordered(spark, path, _WRITTEN).drop("author_name")
+
+
+@query
+def jsonl_rerun(spark, sf_dir):
+    """A second run over some owners replaces their repositories and no others."""
+    path = fresh_path(spark, "rerun")
+    commits = views.commits(spark, sf_dir).select("repo", "commit_key", "committed_at", "author_name")
+    jsonl.write_ordered_by_repo(commits, path, _newest_first())
+    again = commits.filter(F.substring("repo", 4, 1) < "4").withColumn("author_name", F.lit("rerun"))
+    jsonl.write_ordered_by_repo(again, path, _newest_first(), part_rows=8, only_these=True)
+    return jsonl.read_ordered(spark, path, _WRITTEN)
+
+
 @query
 def repo_list_scan(spark, sf_dir):
     """Names as padded lines, among comments, blanks and names without an owner."""
@@ -161,9 +214,31 @@ def integrity_split(spark, sf_dir):
     return judged.withColumn("reason", F.coalesce("reason", F.lit("ok")))
 
 
+def _branching(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    commits = settle(views.branching_commits(spark, sf_dir), "branching")
+    return commits, views.refs(commits)
+
+
+@query
+def reachable_integrity(spark, sf_dir):
+    judged = walk.judge_reachable(views.repositories(spark, sf_dir), *_branching(spark, sf_dir))
+    return judged.withColumn("reason", F.coalesce("reason", F.lit("ok")))
+
+
 # --- commits ----------------------------------------------------------------------
 
 
+@query
+def reachable_commits(spark, sf_dir):
+    return walk.reachable_commits(*_branching(spark, sf_dir))
+
+
+@query
+def walk_order(spark, sf_dir):
+    """Commits as a walk from HEAD meets them, where a sixth of all clocks is fast."""
+    return walk.walk_order(*_branching(spark, sf_dir))
+
+
 @query
 def drop_merges(spark, sf_dir):
     return history.drop_merges(views.commits(spark, sf_dir)).select("commit_key", "n_parents")

@@ -101,13 +101,14 @@ def repo_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repo_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A repository of every document, named by the page it falls on."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     pages = table(spark, sf_dir, "pages").select("page_id")
     name = F.concat(
         F.lit("own"), (F.col("page_id") % 23).cast("string"), F.lit("/"), "lang", F.lit("-"), "source"
     )
     return (
-        pages.join(documents, F.col("page_id") == F.col("doc_id"))
+        _at_turn(documents, pages, "doc_id")
         .select(
             name.alias("full_name"),
             F.col("lang").alias("language"),
@@ -138,6 +139,45 @@ def commits_with_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def branching_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commits in lines of their repositories; each fourth also merges the one three before, each sixth has a fast clock.
+
+    Parents of dear orders are unknown.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    clock = F.col("o_orderdate") + F.when(F.col("o_orderkey") % 6 == 0, F.expr("interval 400 days")).otherwise(
+        F.expr("interval 0 days")
+    )
+    ids = orders.select(
+        _repo(F.col("o_custkey")).alias("repo"),
+        F.sha1(F.col("o_orderkey").cast("string")).alias("commit_id"),
+        clock.alias("committed_at"),
+        "o_orderdate",
+        "o_orderkey",
+        "o_totalprice",
+    )
+    numbered = settle(number_in_group(ids, ["repo"], [F.col("o_orderdate"), F.col("o_orderkey")]), "numbered-commits")
+
+    def before(n: int, name: str) -> DataFrame:
+        return numbered.select("repo", (F.col("position") + n).alias("position"), F.col("commit_id").alias(name))
+
+    first = F.when(F.col("o_totalprice") > 480000, F.concat(F.lit("gone-"), "commit_id")).otherwise(F.col("previous"))
+    second = F.when(F.col("position") % 4 == 0, F.col("earlier"))
+    return (
+        numbered.join(before(1, "previous"), ["repo", "position"], "left")
+        .join(before(3, "earlier"), ["repo", "position"], "left")
+        .select("repo", "commit_id", "committed_at", F.array_compact(F.array(first, second)).alias("parents"), "position")
+    )
+
+
+def refs(branching: DataFrame) -> DataFrame:
+    """Each repository's HEAD: its last commit but for those whose number ends in 1 (none) or 2 (the second commit)."""
+    ending = F.substring("repo", -1, 1)
+    newest = branching.groupBy("repo").agg(F.max("position").alias("position"))
+    chosen = newest.filter(ending != "1").withColumn("position", F.when(ending == "2", F.least(F.lit(2), "position")).otherwise(F.col("position")))
+    return chosen.join(branching.select("repo", "position", "commit_id"), ["repo", "position"]).select("repo", "commit_id")
+
+
 def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(_repo(F.col("c_custkey")).alias("repo"))
 
