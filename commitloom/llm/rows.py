@@ -1,6 +1,8 @@
 """Helpers the operators of this package share.
 
-A document is named by its ``doc_id``.  Where a decision has to find its way
+A document is named by its ``doc_id``, a whole number: a column of another
+type has to be numbered first, and text that is no number ends the job with
+Spark's message.  Where a decision has to find its way
 back to the text, rows are named by ``doc_id`` and a hash of the text, so rows
 that repeat a ``doc_id`` with another text stay apart; rows equal in both get
 the same decision.  A null ``doc_id`` counts as one more document that comes

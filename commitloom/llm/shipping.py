@@ -18,8 +18,9 @@ def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors through Spark, once per application.
 
     The archive is made on the driver and fetched from it; nothing else reads
-    it there.  Batches for Python are kept to ``BATCH_ROWS`` documents, so that a
-    worker's memory does not follow the length of texts.
+    it there.  Batches for Python are kept to ``BATCH_ROWS`` documents for the
+    session: Spark bounds the bytes of a batch that goes in, but not what the
+    operators hold for its rows (features, spans, hashes) until it goes out.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
