@@ -54,7 +54,9 @@ def drop_shared_lines(
 
     Lines whose key has ``min_length`` code points or more and is in
     ``min_documents`` documents or more stay in the smallest of these only.
-    Null text is one empty line.  Lines travel as hashes: counts per hash are
+    Null text is one empty line.  Rows that repeat an id are one document, and so
+    are all rows without an id, which come after all others: their lines do not
+    count against each other.  An empty table gives an empty result.  Lines travel as hashes: counts per hash are
     combined before the shuffle, and the lines to drop come back to their
     document as positions, from which the text is put together again.
     """

@@ -201,7 +201,8 @@ def shard(
     on sizes and hashes alone, written once as a narrow table; then the rows
     are exchanged once, to stretches of their shard, and numbered there from
     the exact row counts of the stretches before.  Rows equal in text and
-    ``doc_id`` stay together.
+    ``doc_id`` stay together.  Null and empty texts are one byte each, a null id
+    comes after all others, and an empty table gives no row.
     """
     rows = _keyed(documents, doc_id, text, whole_rows(documents))
     placed = _place(rows, _keyed(documents, doc_id, text), shards, tolerance)
