@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commitloom.llm.marks import MARK_BITS, likely, mark_table, marked
 from commitloom.operators.ranking import top_n_per_group
 from commitloom.session import settle
 
@@ -19,11 +20,10 @@ MIN_COUNT = 100
 TOP = 2000
 # A chunk ends where a window of as many words as chunks overlap by hashes to 0 modulo this.
 TRIGGER = 64
-# Cells of the table that says which phrases may be frequent: its size is fixed, whatever the corpus.
-FILTER_BITS = 2**26
-# Different phrases a task holds, as hashes and as text, before it passes its counts on.
-HELD_HASHES = 1_000_000
-HELD_PHRASES = 200_000
+# Different phrases a task holds before it passes their counts on.
+HELD_PHRASES = 1_000_000
+# Words of more bytes are hashed one by one.
+LONG_WORD = 1024
 BYTES_AT_ONCE = 2_000_000
 UNKNOWN = "und"
 
@@ -33,7 +33,8 @@ _GAP, _END = 0x20, 0x2E
 _FOLD = bytes(
     _END if b in PIECE_ENDS else _GAP if b in b" \t" else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)
 )
-_SEEDS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
+_MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -41,241 +42,257 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    made = np.full(n, base, np.uint64)
-    made[:1] = 1
-    return np.multiply.accumulate(made)
+def folded(text: str | None) -> bytes:
+    """A to Z in lower case, a space between words and ``.``, which no word holds, between pieces."""
+    return text.encode("utf-8", "surrogatepass").translate(_FOLD) if text else b""
 
 
 class Words:
-    """The words of folded bytes: where they stand, which piece holds them, and their hashes."""
+    """The words of folded texts: where they begin and end, which piece holds them, and their hashes."""
 
     def __init__(self, data: bytes) -> None:
         self.data = data
-        self.points = np.frombuffer(data, np.uint8)
-        gap = (self.points == _GAP) | (self.points == _END)
-        edges = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]])))
+        points = np.frombuffer(data, np.uint8)
+        ends = points == _END
+        word = np.zeros(len(points) + 2, bool)
+        np.logical_not(ends | (points == _GAP), out=word[1:-1])
+        edges = np.flatnonzero(word[1:] != word[:-1])
         self.starts, self.ends = edges[::2], edges[1::2]
-        self.piece = np.cumsum(self.points == _END)[self.starts] if len(data) else self.starts
+        self.piece = np.cumsum(ends, dtype=np.int64)[self.starts]
 
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self, lane: int) -> np.ndarray:
-        """The same letters give the same hash anywhere: sums of letters times powers, brought back to power zero."""
-        base = _SEEDS[lane]
-        sums = np.zeros(len(self.points) + 1, np.uint64)
-        np.cumsum((self.points.astype(np.uint64) + np.uint64(lane + 1)) * _powers(base, len(self.points)), out=sums[1:])
-        back = _powers(np.uint64(pow(int(base), -1, 2**64)), len(self.points) + 1)
-        return _mixed((sums[self.ends] - sums[self.starts]) * back[self.starts] + (self.ends - self.starts).astype(np.uint64))
-
+    def owners(self, texts: list[bytes]) -> np.ndarray:
+        """Of texts joined by one byte, the number of the one that holds each word."""
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        firsts = np.append(np.searchsorted(self.starts, begins), len(self))
+        return np.repeat(np.arange(len(begins)), np.diff(firsts))
 
-def phrase_hashes(words: np.ndarray, size: int, lane: int) -> np.ndarray:
+    def hashes(self, lane: int) -> np.ndarray:
+        """64 bits of each word's bytes, eight bytes a step; the same word has the same hash anywhere."""
+        multiplier, buffer = _MULTIPLIERS[lane], self.data + bytes(8)
+        eight = np.ndarray((len(self.data) + 1,), "<u8", buffer, strides=(1,))
+        at, left = self.starts, self.ends - self.starts
+        found = _mixed((left.astype(np.uint64) ^ eight[at] & _FIRST_BYTES[np.minimum(left, 8)]) * multiplier)
+        long = np.flatnonzero(left > LONG_WORD)
+        for i in long.tolist():
+            found[i] = xxhash.xxh3_64_intdigest(self.data[at[i] : at[i] + left[i]], lane)
+        active = np.flatnonzero((left > 8) & (left <= LONG_WORD))
+        step = 8
+        while len(active):
+            rest = left[active] - step
+            block = eight[at[active] + step] & _FIRST_BYTES[np.minimum(rest, 8)]
+            found[active] = _mixed((found[active] ^ block) * multiplier)
+            active, step = active[rest > 8], step + 8
+        return found
+
+
+def phrase_hashes(words: np.ndarray, size: int, lane: int = 0) -> np.ndarray:
     """A hash of the ``size`` words from each place on that has as many after it."""
     n = max(0, len(words) - size + 1)
     rolled = np.full(n, size, np.uint64)
     for k in range(size):
-        rolled = rolled * _SEEDS[lane] + words[k : n + k]
+        rolled = rolled * _MULTIPLIERS[lane] + words[k : n + k]
     return _mixed(rolled)
 
 
-def chunks(data: bytes, trigger: int = TRIGGER, overlap: int = MAX_WORDS - 1) -> list[tuple[bytes, int]]:
-    """The text as chunks, and in how many of a chunk's words phrases are its own.
+def chunks(texts: list[bytes], trigger: int = TRIGGER, overlap: int = MAX_WORDS - 1) -> list[tuple[int, bytes, int]]:
+    """Folded texts as chunks: the text's number, the chunk, and of how many words phrases are its own.
 
     A window of ``overlap`` words whose hash is 0 modulo ``trigger`` ends a
     chunk and begins the next, so that equal passages are cut alike wherever
     they stand.  A phrase belongs to the chunk in which it begins before the
     overlap; it then ends in that chunk too.
     """
-    words = Words(data)
-    if not len(words):
-        return []
-    windows = phrase_hashes(words.hashes(0), overlap, 0)
-    cuts = np.flatnonzero(windows[1:] % np.uint64(trigger) == 0) + 1
-    first = np.concatenate([[0], cuts])
-    after = np.concatenate([cuts, [len(words)]])
-    last = np.minimum(after + overlap, len(words)) - 1
-    spans = zip(words.starts[first].tolist(), words.ends[last].tolist(), (after - first).tolist())
-    return [(data[a:b], own) for a, b, own in spans]
-
-
-def folded(text: str | None) -> bytes:
-    return text.encode("utf-8", "surrogatepass").translate(_FOLD) if text else b""
-
+    words = Words(b".".join(texts))
+    text = words.owners(texts)
+    windows = phrase_hashes(words.hashes(0), overlap)
+    inside = np.zeros(len(words) + 1, bool)
+    # A cut is not a text's first word, and its window ends in the text.
+    inside[1 : len(windows)] = (text[1 : len(windows)] == text[: max(0, len(windows) - 1)]) & (
+        text[1 : len(windows)] == text[overlap : overlap + max(0, len(windows) - 1)]
+    )
+    cut = inside[:-1]
+    cut[: len(windows)] &= windows % np.uint64(trigger) == 0
+    if len(words):
+        cut |= np.concatenate([[True], text[1:] != text[:-1]])
+    first = np.flatnonzero(cut)
+    after = np.append(first[1:], len(words))
+    goes_on = np.append(text[first[1:]] == text[first[:-1]], False) if len(first) else first.astype(bool)
+    last = np.where(goes_on, after + overlap, after) - 1
+    spans = zip(text[first].tolist(), words.starts[first].tolist(), words.ends[last].tolist(), (after - first).tolist())
+    return [(number, words.data[a:b], own) for number, a, b, own in spans]
+
+
+def chunk_dictionary(
+    documents: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    trigger: int = TRIGGER,
+    max_words: int = MAX_WORDS,
+) -> DataFrame:
+    """The different chunks: ``lang``, ``chunk``, ``own`` (words that begin its own phrases), ``n`` and ``id``.
 
-def chunk_dictionary(documents: DataFrame, text: str = "text", lang: str = "lang", trigger: int = TRIGGER) -> DataFrame:
-    """``lang``, ``chunk``, ``own`` (words that begin its own phrases) and ``n``, how often the parse holds it."""
+    ``n`` is how often the parse holds the chunk, ``id`` 48 bits of its hash.
+    """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found: Counter[tuple[str, bytes, int]] = Counter()
-            for name, one in zip(batch["lang"], batch["text"]):
-                found.update((name, chunk, own) for chunk, own in chunks(folded(one), trigger))
+            langs = batch["lang"].tolist()
+            found = Counter(
+                (langs[i], chunk, own) for i, chunk, own in chunks([folded(t) for t in batch["text"]], trigger, max(1, max_words - 1))
+            )
             rows = [(name, chunk, own, n) for (name, chunk, own), n in found.items()]
             yield pd.DataFrame(rows, columns=["lang", "chunk", "own", "n"])
 
     rows = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
     parsed = rows.filter("text is not null").mapInPandas(parse, "lang string, chunk binary, own long, n long")
-    return settle(parsed.groupBy("lang", "chunk", "own").agg(F.sum("n").alias("n")), "chunks")
+    distinct = parsed.groupBy("lang", "chunk", "own").agg(F.sum("n").alias("n"))
+    name = F.shiftrightunsigned(F.xxhash64("lang", "chunk", "own"), 16)
+    return settle(distinct.withColumn("id", name), "chunks")
 
 
 class Batch:
-    """The chunks of a batch as one run of words, with each word's weight as the beginning of a phrase."""
+    """The chunks of a batch as one run of words, a piece's end between two, with each word's weight as a phrase's beginning."""
 
     def __init__(self, rows: pd.DataFrame) -> None:
-        # Chunks are set apart by the end of a piece.
-        words = Words(bytes([_END]).join(rows["chunk"]))
-        sizes = [len(c) + 1 for c in rows["chunk"]]
-        begins = np.cumsum([0, *sizes[:-1]])
-        chunk = np.searchsorted(begins, words.starts, "right") - 1
-        place = np.arange(len(words)) - np.searchsorted(words.starts, begins)[chunk]
-        own = place < rows["own"].to_numpy(np.int64)[chunk]
-        self.words, self.weight = words, np.where(own, rows["n"].to_numpy(np.int64)[chunk], 0)
-        self.langs = rows["lang"].to_numpy()
-        self.chunk = chunk
-        self._lanes: dict[int, np.ndarray] = {}
-
-    def hashes(self, size: int, lane: int = 0) -> np.ndarray:
+        given = rows["chunk"].tolist()
+        self.words = Words(b".".join(given))
+        self.chunk = self.words.owners(given)
+        sizes = np.bincount(self.chunk, minlength=len(given))
+        place = np.arange(len(self.words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        own = place < rows["own"].to_numpy(np.int64)[self.chunk]
+        self.weight = np.where(own, rows["n"].to_numpy(np.int64)[self.chunk], 0)
+        self.id, self.langs = rows["id"].to_numpy(np.int64), rows["lang"].tolist()
+        self.lanes = []
+        for lane in (0, 1):
+            salts = {one: xxhash.xxh3_64_intdigest(one.encode("utf-8", "surrogatepass"), lane) for one in set(self.langs)}
+            salted = np.array([salts[one] for one in self.langs], np.uint64)
+            self.lanes.append(self.words.hashes(lane) ^ salted[self.chunk])
+
+    def hashes(self, size: int) -> np.ndarray:
         """Hash of the phrase of ``size`` words from each place on, in its language."""
-        if lane not in self._lanes:
-            salts = [xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass"), lane) for name in self.langs]
-            self._lanes[lane] = self.words.hashes(lane) ^ np.array(salts, np.uint64)[self.chunk]
-        return phrase_hashes(self._lanes[lane], size, lane)
+        return phrase_hashes(self.lanes[0], size, 0)
+
+    def checks(self, size: int, at: np.ndarray) -> np.ndarray:
+        """32 more bits to tell phrases apart by."""
+        return (phrase_hashes(self.lanes[1], size, 1)[at] >> np.uint64(32)).astype(np.int64)
 
     def begins(self, size: int) -> np.ndarray:
-        """Whether a phrase of ``size`` words stands there, within a piece."""
+        """Whether a phrase of ``size`` words, within a piece, that is its chunk's own begins there."""
         piece, n = self.words.piece, max(0, len(self.words) - size + 1)
-        return piece[:n] == piece[size - 1 : size - 1 + n]
+        return (piece[size - 1 : size - 1 + n] == piece[:n]) & (self.weight[:n] > 0)
+
+    def phrase(self, place: int, size: int) -> str:
+        span = self.words.data[self.words.starts[place] : self.words.ends[place + size - 1]]
+        return b" ".join(w for w in span.split(b" ") if w).decode("utf-8", "surrogatepass")
 
 
 def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[Batch]:
     for frame in frames:
-        sizes = np.cumsum([len(c) for c in frame["chunk"]])
-        for _, rows in frame.groupby((sizes - 1) // BYTES_AT_ONCE if len(sizes) else sizes):
-            yield Batch(rows)
+        if len(frame):
+            sizes = np.cumsum([len(c) for c in frame["chunk"]])
+            for _, rows in frame.groupby((sizes - 1) // BYTES_AT_ONCE):
+                yield Batch(rows)
 
 
-def possible(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes % np.uint64(64 * len(bits))
-    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
+def _counted(phrases: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Hash, check, count and least chunk of each different phrase of those given.
 
-
-def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, weights = keys[order], weights[order]
-    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[heads], np.add.reduceat(weights, heads) if len(heads) else weights
+    Phrases of one hash and different checks stay apart, though not always in one piece each.
+    """
+    h, check, n, chunk = (np.concatenate(x) for x in zip(*phrases))
+    if not len(h):
+        return h, check, n, chunk
+    order = np.argsort(h, kind="stable")
+    h, check = h[order], check[order]
+    heads = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (check[1:] != check[:-1])]))
+    return h[heads], check[heads], np.add.reduceat(n[order], heads), np.minimum.reduceat(chunk[order], heads)
 
 
-def frequent_hashes(
+def counted_phrases(
     dictionary: DataFrame, sizes: tuple[int, ...], below: np.ndarray | None, below_size: int, min_count: int
 ) -> DataFrame:
-    """``h`` of every phrase of one of ``sizes`` words that may occur ``min_count`` times or more.
+    """``h``, ``check``, ``a`` and a chunk's ``id`` of every phrase of one of ``sizes`` words with ``a >= min_count``.
 
-    ``below`` holds the frequent phrases of ``below_size`` words: a phrase is
-    counted only where all of those inside it are frequent, which no frequent
-    phrase fails.  Phrases are counted by a hash of 64 bits; two that share one
-    are only counted too high here.
+    ``below`` marks the frequent phrases of ``below_size`` words: a phrase is
+    counted only where all of those inside it are marked, which no frequent
+    phrase fails.  Phrases are told apart by 96 bits.
     """
     shared = dictionary.sparkSession.sparkContext.broadcast(below)
 
+    def given(phrases: tuple[np.ndarray, ...]) -> pd.DataFrame:
+        return pd.DataFrame(dict(zip(("h", "check", "n", "id"), (phrases[0].view(np.int64), *phrases[1:]))))
+
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         new = 0
         for batch in _batches(frames):
-            usual = possible(shared.value, batch.hashes(below_size)) if shared.value is not None else None
+            usual = marked(shared.value, batch.hashes(below_size)) if shared.value is not None else None
             for size in sizes:
-                valid = batch.begins(size) & (batch.weight[: max(0, len(batch.words) - size + 1)] > 0)
+                valid = batch.begins(size)
                 if usual is not None:
                     for shift in range(size - below_size + 1):
                         valid &= usual[shift : shift + len(valid)]
                 at = np.flatnonzero(valid)
-                held.append(_summed(batch.hashes(size)[at], batch.weight[at]))
-                new += len(held[-1][0])
-            if new > HELD_HASHES:
-                keys, weights = _summed(*map(np.concatenate, zip(*held)))
-                held, new = [(keys, weights)], 0
-                if len(keys) > HELD_HASHES:
+                held.append((batch.hashes(size)[at], batch.checks(size, at), batch.weight[at], batch.id[batch.chunk[at]]))
+                new += len(at)
+            if new > HELD_PHRASES:
+                held, new = [_counted(held)], 0
+                if len(held[0][0]) > HELD_PHRASES:
+                    yield given(held[0])
                     held = []
-                    yield pd.DataFrame({"h": keys.view(np.int64), "n": weights})
         if held:
-            keys, weights = _summed(*map(np.concatenate, zip(*held)))
-            yield pd.DataFrame({"h": keys.view(np.int64), "n": weights})
-
-    counted = dictionary.mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return settle(counted.filter(F.col("n") >= min_count).select("h"), "frequent-hashes")
-
-
-def bit_table(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A table of ``bits`` cells that holds every hash, and others by chance; it never grows."""
-    # The unsigned hash modulo a power of two is its low bits.
-    slot = F.col("h").bitwiseAND(F.lit(bits - 1))
-    cells = (
-        hashes.select(F.shiftright(slot, 6).alias("cell"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
-        .groupBy("cell")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    table = np.zeros(bits // 64, np.int64)
-    table[cells["cell"].to_numpy()] = cells["bits"].to_numpy()
-    return table.view(np.uint64)
-
-
-def _phrases(batch: Batch, size: int, at: np.ndarray) -> list[tuple[str, str, int]]:
-    """Language, phrase and count of the phrases at those places, equal ones as one."""
-    one, two = batch.hashes(size)[at], batch.hashes(size, 1)[at]
-    order = np.lexsort((two, one))
-    at, one, two = at[order], one[order], two[order]
-    heads = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])) if len(at) else at
-    counts = np.add.reduceat(batch.weight[at], heads) if len(heads) else heads
-    words, found = batch.words, []
-    for place, n in zip(at[heads].tolist(), counts.tolist()):
-        span = words.data[words.starts[place] : words.ends[place + size - 1]]
-        phrase = b" ".join(w for w in span.split(b" ") if w).decode("utf-8", "surrogatepass")
-        found.append((batch.langs[batch.chunk[place]], phrase, n))
-    return found
+            yield given(_counted(held))
+
+    counted = dictionary.mapInPandas(count, "h long, check long, n long, id long")
+    summed = counted.groupBy("h", "check").agg(F.sum("n").alias("a"), F.min("id").alias("id"))
+    return settle(summed.filter(F.col("a") >= min_count), "frequent-phrases")
 
 
 def frequent_phrases(
-    dictionary: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, bits: int = FILTER_BITS
+    dictionary: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, bits: int = MARK_BITS
 ) -> DataFrame:
-    """``lang``, ``phrase``, ``words`` and exact ``a`` of every phrase of up to ``max_words`` words with ``a >= min_count``.
+    """``lang``, ``phrase``, ``words`` and ``a`` of every phrase of up to ``max_words`` words with ``a >= min_count``.
 
-    Level by level, phrases that may be frequent are marked by hash in a table
-    of fixed size; a last pass counts what is marked by its letters.  However
-    full the table, it only lets through more to be counted.
+    Level by level, frequent phrases are counted, and marked by hash in a table
+    of fixed size that says where longer ones can be; a fuller table only lets
+    more be counted.  Each frequent phrase names one chunk that holds it, from
+    which its letters are read at last.
     """
-    marked, below, below_size = None, None, 0
+    found, below, below_size = None, None, 0
     for sizes in ((1,), (2,), (3,), tuple(range(4, max_words + 1))):
         sizes = tuple(s for s in sizes if s <= max_words)
         if not sizes:
             break
-        hashes = frequent_hashes(dictionary, sizes, below, below_size, min_count)
-        below, below_size = bit_table(hashes, bits), sizes[-1]
-        marked = below if marked is None else marked | below
-    shared = dictionary.sparkSession.sparkContext.broadcast(marked)
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter[tuple[str, str, int]] = Counter()
-
-        def given() -> pd.DataFrame:
-            return pd.DataFrame([(*key, n) for key, n in held.items()], columns=["lang", "phrase", "words", "n"])
-
-        for batch in _batches(frames):
+        counted = counted_phrases(dictionary, sizes, below, below_size, min_count)
+        below, below_size = mark_table(counted, "h", bits), sizes[-1]
+        found = counted if found is None else found.unionByName(counted)
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if not len(frame):
+                continue
+            batch, out = Batch(frame), []
+            wanted = {(i, p["h"], p["check"]): p["a"] for i, own in enumerate(frame["wanted"]) for p in own}
+            hashes = np.array([h for _, h, _ in wanted], np.int64)
             for size in range(1, max_words + 1):
-                valid = batch.begins(size) & (batch.weight[: max(0, len(batch.words) - size + 1)] > 0)
-                at = np.flatnonzero(valid)
-                at = at[possible(shared.value, batch.hashes(size)[at])]
-                for lang, phrase, n in _phrases(batch, size, at):
-                    held[lang, phrase, size] += n
-            if len(held) > HELD_PHRASES:
-                yield given()
-                held.clear()
-        yield given()
-
-    counted = dictionary.mapInPandas(count, "lang string, phrase string, words long, n long")
-    exact = counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).filter(F.col("a") >= min_count)
-    return settle(exact, "frequent-phrases")
+                at = np.flatnonzero(batch.begins(size))
+                found = batch.hashes(size)[at].view(np.int64)
+                near = np.isin(found, hashes)
+                at, found = at[near], found[near]
+                keys = zip(batch.chunk[at].tolist(), found.tolist(), batch.checks(size, at).tolist())
+                for key, place in zip(keys, at.tolist()):
+                    a = wanted.pop(key, None)
+                    if a is not None:
+                        out.append((batch.langs[key[0]], batch.phrase(place, size), size, a))
+            yield pd.DataFrame(out, columns=["lang", "phrase", "words", "a"])
+
+    holders = likely(dictionary, F.col("id"), found, F.col("id"))
+    wanted = found.groupBy("id").agg(F.collect_list(F.struct("h", "check", "a")).alias("wanted"))
+    texts = holders.join(wanted, "id").mapInPandas(read, "lang string, phrase string, words long, a long")
+    # Two chunks of one id may both hold the phrase.
+    return settle(texts.distinct(), "phrases")
 
 
 def _cuts(phrases: DataFrame) -> DataFrame:
@@ -319,7 +336,7 @@ def collocations(
     Repeated rows count each time.  Without frequent phrases the result is
     empty.
     """
-    dictionary = chunk_dictionary(documents, text, lang, trigger)
+    dictionary = chunk_dictionary(documents, text, lang, trigger, max_words)
     totals = settle(_totals(dictionary), "words-by-language")
     phrases = frequent_phrases(dictionary, max_words, min_count)
     known = phrases.select("lang", "phrase", F.col("a").alias("_f"))
@@ -357,4 +374,5 @@ def collocations(
 
 
 def _totals(dictionary: DataFrame) -> DataFrame:
+    """``lang`` and ``n``, its words: each begins phrases of one chunk of its text."""
     return dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("n")).alias("n"))
