@@ -54,7 +54,7 @@ def random_history(rng, repo, n, skew):
     return commits
 
 
-@pytest.mark.parametrize("skew", [0.0, 0.3, 1.0])
+@pytest.mark.parametrize("skew", [0.0, 0.6])
 def test_order_of_random_histories(spark, skew):
     rng = random.Random(11)
     commits, heads = [], []
@@ -71,12 +71,12 @@ def test_a_parent_with_a_fast_clock_waits_for_its_child(spark):
 
 
 def test_long_lines_and_branches(spark):
-    line = [("long", f"{i:05d}", i, [f"{i - 1:05d}"] if i else None) for i in range(5000)]
-    side = [("long", f"s{i:03d}", i, [f"s{i - 1:03d}"] if i else ["02000"]) for i in range(60)]
-    merge = ("long", "merge", 6000, ["04000", "s059", None, "gone"])
+    line = [("long", f"{i:05d}", i, [f"{i - 1:05d}"] if i else None) for i in range(1500)]
+    side = [("long", f"s{i:03d}", i, [f"s{i - 1:03d}"] if i else ["00600"]) for i in range(60)]
+    merge = ("long", "merge", 6000, ["01200", "s059", None, "gone"])
     commits, refs = frames(spark, [*line, *side, merge], [("long", "merge")])
     reached = {r["commit_id"] for r in walk.reachable_commits(commits, refs).collect()}
-    assert reached == {f"{i:05d}" for i in range(4001)} | {f"s{i:03d}" for i in range(60)} | {"merge"}
+    assert reached == {f"{i:05d}" for i in range(1201)} | {f"s{i:03d}" for i in range(60)} | {"merge"}
     assert found_walk(walk.walk_order(commits, refs)) == plain_walk([*line, *side, merge], [("long", "merge")])
 
 
