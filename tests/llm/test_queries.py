@@ -17,14 +17,14 @@ pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="driver tables are n
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(llm, name):
     db = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         db.sql(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     got, want = QUERIES[name](llm, str(FOLDER)).toPandas(), db.sql(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want)
