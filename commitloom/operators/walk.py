@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitloom.operators.ranking import number_in_group
+from commitloom.operators.ranking import CHUNK_ROWS, number_in_group
 from commitloom.session import settle
 
 _NODE = ["repo", "id"]
+# What stands for an age where there is none, and lies above all numbers of commits.
+_OLDEST, _ABOVE = 2**63 - 1, 2**62
 
 
 def _joined(path: Column, after: Column) -> Column:
@@ -23,7 +25,7 @@ def _kept(path: Column, _: Column) -> Column:
 
 
 def _levels(firsts: DataFrame, join: Callable[[Column, Column], Column]) -> list[DataFrame]:
-    """Jumps of 1, 2, 4, ... first parents: ``repo``, ``id``, ``to`` and the ``way``, from after ``id`` to ``to``.
+    """Jumps of 1, 2, 4, ... first parents: ``node``, ``to`` and the ``way``, from after ``node`` to ``to``.
 
     Each level is made of two jumps of the one before, so a line of n commits
     needs log2(n) levels; a level holds only the commits that have as many
@@ -39,19 +41,19 @@ def _levels(firsts: DataFrame, join: Callable[[Column, Column], Column]) -> list
             break
         reach *= 2
         here, there = level.alias("a"), level.alias("b")
-        both = (F.col("a.repo") == F.col("b.repo")) & (F.col("a.to") == F.col("b.id"))
         way = join(F.col("a.way"), F.col("b.way")).alias("way")
-        level = settle(here.join(there, both).select("a.repo", "a.id", F.col("b.to").alias("to"), way), "first-parents")
+        met = here.join(there, F.col("a.to") == F.col("b.node"))
+        level = settle(met.select("a.node", F.col("b.to").alias("to"), way), "first-parents")
     return levels
 
 
 def _best(reached: DataFrame, moved: DataFrame) -> DataFrame:
     """Each commit with the least key known; keys are combined before the shuffle."""
-    return reached.unionByName(moved).groupBy(*_NODE).agg(F.min("key").alias("key"))
+    return reached.unionByName(moved).groupBy("node").agg(F.min("key").alias("key"))
 
 
 def _moved(keys: DataFrame, steps: DataFrame, join: Callable[[Column, Column], Column]) -> DataFrame:
-    return keys.join(steps, _NODE).select("repo", F.col("to").alias("id"), join(F.col("key"), F.col("way")).alias("key"))
+    return keys.join(steps, "node").select(F.col("to").alias("node"), join(F.col("key"), F.col("way")).alias("key"))
 
 
 def _spread(
@@ -72,36 +74,56 @@ def _spread(
         if reached is not None:
             known = reached.withColumnRenamed("key", "_known")
             better = F.col("_known").isNull() | (F.col("key") < F.col("_known"))
-            fresh = settle(fresh.join(known, _NODE, "left").filter(better).drop("_known"), "keys")
+            fresh = settle(fresh.join(known, "node", "left").filter(better).drop("_known"), "keys")
             reached = settle(_best(reached, fresh), "reached")
         else:
             reached = fresh
-        side = _moved(fresh, others, join).groupBy(*_NODE).agg(F.min("key").alias("key"))
+        side = _moved(fresh, others, join).groupBy("node").agg(F.min("key").alias("key"))
         known = reached.withColumnRenamed("key", "_known")
         better = F.col("_known").isNull() | (F.col("key") < F.col("_known"))
-        fresh = settle(side.join(known, _NODE, "left").filter(better).drop("_known"), "keys")
+        fresh = settle(side.join(known, "node", "left").filter(better).drop("_known"), "keys")
         if fresh.isEmpty():
             return reached
 
 
-def _graph(commits: DataFrame, refs: DataFrame, entry: Column, join: Callable[[Column, Column], Column]) -> DataFrame:
-    """``repo``, ``id`` and ``key`` of the commits that the heads reach; a commit's own key is [``entry``]."""
-    # A commit that stands twice is one; edges to what is not a commit lead nowhere.
-    nodes = settle(
-        commits.select("repo", F.col("commit_id").alias("id"), entry.alias("_entry"), "parents")
+def _nodes(commits: DataFrame, age: Column) -> DataFrame:
+    """``repo``, ``id``, ``age`` and ``parents`` of each commit, with the ``node`` that stands for it from here on.
+
+    A repository's nodes rise with their ids, so they tell commits of one
+    instant apart as the ids do.  A commit that stands twice is one; ranges of
+    (repository, id) bring its rows together and give the numbers their order.
+    """
+    parts = max(int(commits.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-commits.count() // CHUNK_ROWS))
+    named = commits.select("repo", F.col("commit_id").alias("id"), age.alias("_age"), "parents").dropna(subset=_NODE)
+    once = (
+        named.repartitionByRange(parts, *_NODE)
         .groupBy(*_NODE)
-        .agg(F.min(F.struct("_entry", "parents")).alias("c"))
-        .select(*_NODE, F.array("c._entry").alias("way"), F.array_compact("c.parents").alias("parents")),
-        "commits",
+        .agg(F.min(F.struct("_age", "parents")).alias("c"))
+        .sortWithinPartitions(*_NODE)
     )
-    target = nodes.select("repo", F.col("id").alias("to"), "way")
-    edges = settle(
-        nodes.select(*_NODE, F.posexplode("parents").alias("nth", "to")).filter("id <> to").join(target, ["repo", "to"]), "edges"
-    )
-    first = edges.filter("nth = 0").select(*_NODE, "to", "way")
-    others = settle(edges.filter("nth > 0").select(*_NODE, "to", "way").distinct(), "other-parents")
-    heads = refs.select("repo", F.col("commit_id").alias("id")).distinct().join(nodes.select(*_NODE, F.col("way").alias("key")), _NODE)
-    return _spread(settle(heads, "heads"), _levels(first, join), others, join)
+    parents = F.array_compact("c.parents").alias("parents")
+    return settle(once.select(*_NODE, F.col("c._age").alias("age"), parents, F.monotonically_increasing_id().alias("node")), "commits")
+
+
+def _graph(
+    nodes: DataFrame, refs: DataFrame, entry: Column, join: Callable[[Column, Column], Column], lead: Column | None = None
+) -> DataFrame:
+    """``node`` and ``key`` of the commits that the heads reach; a commit's own key is [``entry``].
+
+    ``lead`` of a repository's ``_first`` head comes before that in all its keys.
+    """
+    # Edges to what is not a commit lead nowhere.
+    target = nodes.select("repo", F.col("id").alias("_parent"), F.col("node").alias("to"), F.array(entry).alias("way"))
+    named = nodes.select(*_NODE, "node", F.posexplode("parents").alias("nth", "_parent")).filter("id <> _parent").drop("id")
+    edges = settle(named.join(target, ["repo", "_parent"]).select("node", "nth", "to", "way"), "edges")
+    first = edges.filter("nth = 0").select("node", "to", "way")
+    others = settle(edges.filter("nth > 0").select("node", "to", "way").distinct(), "other-parents")
+    heads = refs.select("repo", F.col("commit_id").alias("id")).distinct()
+    heads = heads.join(nodes.select(*_NODE, "node", F.array(entry).alias("key")), _NODE)
+    if lead is not None:
+        heads = heads.join(heads.groupBy("repo").agg(F.min("node").alias("_first")), "repo")
+        heads = heads.withColumn("key", F.concat(F.array(lead), "key"))
+    return _spread(settle(heads.select("node", "key"), "heads"), _levels(first, join), others, join)
 
 
 def reachable_commits(commits: DataFrame, refs: DataFrame) -> DataFrame:
@@ -113,8 +135,9 @@ def reachable_commits(commits: DataFrame, refs: DataFrame) -> DataFrame:
     and with how often histories branch off inside branches, not with the
     number of generations.
     """
-    found = _graph(commits, refs, F.lit(0), _kept)
-    return found.select("repo", F.col("id").alias("commit_id"))
+    nodes = _nodes(commits, F.lit(0))
+    found = _graph(nodes, refs, F.lit(0), _kept)
+    return nodes.join(found.select("node"), "node").select("repo", F.col("id").alias("commit_id"))
 
 
 def walk_order(commits: DataFrame, refs: DataFrame, position: str = "position") -> DataFrame:
@@ -129,9 +152,13 @@ def walk_order(commits: DataFrame, refs: DataFrame, position: str = "position")
     the best key over all paths, compared entry by entry, is the commit's place.
     With clocks in order it is the commit's own entry alone.
     """
-    age = F.coalesce(-F.unix_micros(F.col("committed_at").cast("timestamp")), F.lit(2**63 - 1))
-    found = _graph(commits, refs, F.struct(age.alias("age"), F.col("commit_id").alias("commit")), _joined)
-    return number_in_group(found, ["repo"], [F.col("key")], position).select("repo", F.col("id").alias("commit_id"), position)
+    age = F.coalesce(-F.unix_micros(F.col("committed_at").cast("timestamp")), F.lit(_OLDEST))
+    nodes = _nodes(commits, age)
+    # No entry outdoes a repository's own, so all its keys begin with it and those of no other do.
+    lead = F.struct(F.lit(_OLDEST).alias("age"), (F.col("_first") + _ABOVE).alias("node"))
+    keys = _graph(nodes, refs, F.struct("age", "node"), _joined, lead)
+    numbered = number_in_group(keys.withColumn("_first", F.col("key")[0]["node"]), ["_first"], [F.col("key")], position)
+    return nodes.select(*_NODE, "node").join(numbered.select("node", position), "node").select("repo", F.col("id").alias("commit_id"), position)
 
 
 def judge_reachable(repos: DataFrame, commits: DataFrame, refs: DataFrame) -> DataFrame:

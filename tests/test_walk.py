@@ -107,3 +107,19 @@ def test_integrity_of_what_heads_reach(spark):
     assert judged == {
         "fine": None, "broken": "missing parent", "headless": "no HEAD", "lost": "missing HEAD", "null": "no HEAD", "empty": "no HEAD",
     }
+
+
+def test_only_numbers_travel_along_the_edges(spark, monkeypatch):
+    """Names and ids stay with the commits: what is written and shuffled in each round has none."""
+    written, settle = {}, walk.settle
+    monkeypatch.setattr(walk, "settle", lambda df, label: written.setdefault(label, df.schema.simpleString()) and settle(df, label))
+    commits, refs = frames(spark, [("r", "a", 1, []), ("r", "b", 2, ["a"]), ("q", "b", 1, [])], [("r", "b"), ("q", "b")])
+    assert found_walk(walk.walk_order(commits, refs)) == {("r", "b"): 1, ("r", "a"): 2, ("q", "b"): 1}
+    assert {"edges", "first-parents", "keys"} <= set(written)
+    assert not [label for label, schema in written.items() if label != "commits" and "string" in schema]
+
+
+def test_commits_of_one_instant_go_by_id_in_every_repository(spark):
+    commits = [(repo, c, t, ["z"] if c != "z" else []) for repo in ("p", "q", "r") for c, t in (("z", None), ("y", 1), ("x", 1), ("w", 1))]
+    heads = [(repo, c) for repo in ("p", "q", "r") for c in ("w", "x", "y")]
+    assert found_walk(walk.walk_order(*frames(spark, commits, heads))) == plain_walk(commits, heads)
