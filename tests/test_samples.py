@@ -59,3 +59,17 @@ def test_counters(spark, tmp_path):
 def test_count_by_repo(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "repo string")
     assert {r["repo"]: r["n_rows"] for r in samples.count_by_repo(df).collect()} == {"a": 2, "b": 1}
+
+
+def test_facts_come_after_diffs(spark, monkeypatch):
+    """A repository's texts are not shuffled with each of its commits."""
+    from commitloom.plans import commit_records as plan
+
+    given, with_meta = [], plan.with_repo_meta
+    monkeypatch.setattr(plan, "with_repo_meta", lambda df, *rest: given.append(df.columns) or with_meta(df, *rest))
+    commits = spark.sql("select 'r' repo, 'a' commit_id, timestamp'2020-01-01' committed_at, 1 n_parents, 'x' author_name, 'Add it' message")
+    patches = spark.sql("select 'r' repo, 'a' commit_id, 0 patch_idx, 'n' new_path, 'o' old_path, '+1' patch_text")
+    files = spark.sql("select 'r' repo, 'CONTRIBUTING.md' path, 'style' content")
+    (row,) = plan.commit_records(commits, patches, files).collect()
+    assert (row["commit_msg"], row["change"], row["code_style"], row["affected_files"]) == ("Add it", "+1", "style", ["n", "o"])
+    assert "change" in given[0]
