@@ -215,3 +215,22 @@ def test_rows_without_a_repository_are_one(spark, tmp_path):
     back = jsonl.read_ordered(spark, str(tmp_path / "out"), ORDERED).collect()
     assert sorted((r["repo"] or "", r["position"], r["text"]) for r in back if r["repo"]) == [("r", 1, "c")]
     assert len(back) == 1 + 2
+
+
+def test_judged_lines_are_written_once(spark, tmp_path, monkeypatch):
+    """A good line as its members, a rejected one as it stands."""
+    seen, settle = [], jsonl.settle
+    monkeypatch.setattr(jsonl, "settle", lambda df, label: seen.append(settle(df, label)) or seen[-1])
+    jsonl.read_jsonl_with_rejects(spark, write(tmp_path, [*GOOD, "junk", " "]), SCHEMA)
+    kept = sorted((r["_good"], r["value"], r["parsed"] is None) for r in seen[0].filter("not _good").collect())
+    assert kept == [(False, " ", True), (False, "junk", True)]
+    assert seen[0].filter("_good and value is null and parsed is not null").count() == len(GOOD)
+
+
+@pytest.mark.parametrize("name", ["jsonl_scan_skip"])
+def test_repeated_lines_are_packed(spark, tmp_path, name):
+    from workload.queries import QUERIES
+
+    spark.sql("select id as doc_id, concat('text ', id) as text, 'en' as lang from range(40)").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES[name](spark, str(tmp_path))
+    assert found.count() == 40 and all(f.endswith(".txt.snappy") for f in found.inputFiles())
