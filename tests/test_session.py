@@ -39,3 +39,7 @@ def test_settled_tables_lie_in_the_shared_folder(spark):
     df = session.settle(spark.range(3), "three")
     assert df.count() == 3
     assert all(f"{spark.conf.get('spark.checkpoint.dir')}/commitloom/three-" in f for f in df.inputFiles())
+
+
+def test_batches_for_python_are_small(spark):
+    assert int(session.tune(spark).conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
