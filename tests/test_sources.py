@@ -234,3 +234,28 @@ def test_repeated_lines_are_packed(spark, tmp_path, name):
     spark.sql("select id as doc_id, concat('text ', id) as text, 'en' as lang from range(40)").write.parquet(str(tmp_path / "documents.parquet"))
     found = QUERIES[name](spark, str(tmp_path))
     assert found.count() == 40 and all(f.endswith(".txt.snappy") for f in found.inputFiles())
+
+
+def test_parts_have_no_checksum_files_beside_them(spark, tmp_path):
+    df = spark.createDataFrame(ordered_rows(30), "repo string, n long, text string")
+    jsonl.write_by_repo(df, str(tmp_path / "plain"))
+    jsonl.write_ordered_by_repo(df, str(tmp_path / "ordered"), [F.col("n")], part_rows=10)
+    jsonl.write_ordered_by_repo(df, str(tmp_path / "ordered"), [F.col("n")], only_these=True)
+    assert not list(tmp_path.rglob("*.crc")) and len(list(tmp_path.rglob("repo=*/part-*.json"))) >= 14
+
+
+def test_ordered_files_are_opened_once(spark, tmp_path, monkeypatch):
+    """What is read back comes from the settled lines, which no other scan of the folder joins."""
+    df = spark.createDataFrame(ordered_rows(90), "repo string, n long, text string")
+    jsonl.write_ordered_by_repo(df, str(tmp_path / "out"), [F.col("n")], part_rows=20)
+    monkeypatch.setattr(jsonl, "manifest", None)
+    back = jsonl.read_ordered(spark, str(tmp_path / "out"), ORDERED)
+    assert not any(file.endswith(".json") for file in back.inputFiles())
+    assert {(r["repo"], r["n"], r["position"]) for r in back.collect()} == {(repo, n, n + 1) for repo, n, _ in ordered_rows(90)}
+
+
+def test_files_are_not_listed_on_the_driver_where_they_have_lines(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame(ordered_rows(30), "repo string, n long, text string")
+    jsonl.write_by_repo(df, str(tmp_path / "out"))
+    monkeypatch.setattr(type(df), "inputFiles", lambda _: pytest.fail("all names came to the driver"))
+    assert jsonl.read_jsonl(spark, str(tmp_path / "out"), ORDERED, mode="fail").count() == 30 + 6 * 5
