@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitloom.llm.marks import mark_table, marked
+from commitloom.llm.marks import likely, mark_table, marked
 from commitloom.llm.rows import row_key, shown_id
 from commitloom.session import settle
 
@@ -303,6 +303,10 @@ def drop_repeated_windows(
     )
     keyed = documents.select(*row_key(doc_id, text), F.col(text).alias("text"))
 
+    def texts_of(rows: DataFrame) -> DataFrame:
+        """``rows`` with their texts: only a text that some row wants, or all but, is exchanged."""
+        return likely(keyed, F.col("_hash"), rows, F.col("_hash")).join(rows, key)
+
     def windows_of(batches):
         for texts, sizes, stretches, around in batches:
             out = []
@@ -315,17 +319,18 @@ def drop_repeated_windows(
     windowed = _python(windows_of, "at array<int>, h1 array<long>, h2 array<long>", *[pd.Series] * 4)
     # Rows equal in id and text repeat their windows here; that changes no minimum, and their starts are a set.
     windows = settle(
-        keyed.join(searched, key)
+        texts_of(searched)
         .select(*key, windowed("text", "n_words", "stretches", "_around").alias("w"))
         .select(*key, F.explode(F.arrays_zip("w.at", "w.h1", "w.h2")).alias("w"))
         .select(*key, "w.*"),
         "windows",
     )
-    repeated = (
+    repeated = settle(
         windows.groupBy("h1", "h2")
         .agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
         .filter(F.col("_first") < F.col("_last"))
-        .drop("_last")
+        .drop("_last"),
+        "repeated-windows",
     )
 
     def join_up(batches):
@@ -334,7 +339,8 @@ def drop_repeated_windows(
 
     join_up.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     by_window = (
-        windows.join(repeated, ["h1", "h2"])
+        likely(windows, F.col("h1"), repeated, F.col("h1"))
+        .join(repeated, ["h1", "h2"])
         .filter(F.col("_id") > F.col("_first"))
         .groupBy(*key)
         .agg(F.collect_set("at").alias("_starts"))
@@ -360,7 +366,7 @@ def drop_repeated_windows(
 
     shortened = _python(kept_of, "n_removed long, sha string, kept_text string", *[pd.Series] * 3)
     changed = (
-        keyed.join(settle(cut, "cuts"), key)
+        texts_of(settle(cut, "cuts"))
         .select(*key, shortened("text", "n_words", "_removed").alias("k"))
         .groupBy(*key)
         .agg(F.first("k").alias("k"))

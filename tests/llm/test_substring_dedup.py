@@ -98,3 +98,19 @@ def test_matches_at_other_distances_and_other_holders(llm):
         rows.append((d, " ".join([*lead, *body, *lead[::-1], *(passage[40:95] if d % 5 == 0 else [])])))
     assert found(documents(llm, rows)) == expected(rows, 50)
     assert found(documents(llm, rows), window=30, period=13) == expected(rows, 30)
+
+
+def test_only_wanted_texts_and_repeated_windows_are_exchanged(spark, monkeypatch):
+    """Of 200 texts two share a passage, off each other's anchors: the others' texts and windows stay where they are."""
+    from commitloom.llm import substring_dedup
+
+    kept, real = [], substring_dedup.likely
+    monkeypatch.setattr(substring_dedup, "likely", lambda *a: kept.append(real(*a)) or kept[-1])
+    passage = " ".join(f"p{i}" for i in range(120))
+    own = [" ".join(f"d{d}w{i}" for i in range(150)) for d in range(200)]
+    texts = [f"{t} {passage} {t}" if d in (3, 90) else t for d, t in enumerate(own)]
+    documents = spark.createDataFrame([(d, "x " * (d % 7) + t) for d, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["_id"]: r["n_removed"] for r in substring_dedup.drop_repeated_windows(documents).collect()}
+    assert {d for d, n in found.items() if n} == {90} and found[90] == 120
+    moved = [(df.columns, df.count()) for df in kept]
+    assert len(moved) == 3 and all(n <= 4 for columns, n in moved if "text" in columns)
