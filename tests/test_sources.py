@@ -259,3 +259,10 @@ def test_files_are_not_listed_on_the_driver_where_they_have_lines(spark, tmp_pat
     jsonl.write_by_repo(df, str(tmp_path / "out"))
     monkeypatch.setattr(type(df), "inputFiles", lambda _: pytest.fail("all names came to the driver"))
     assert jsonl.read_jsonl(spark, str(tmp_path / "out"), ORDERED, mode="fail").count() == 30 + 6 * 5
+
+
+def test_a_line_is_parsed_once(spark):
+    """Its members and the columns put in are parsed once a row, not once a member."""
+    df = spark.createDataFrame([("x", '{"a":1,"b":2}')], "a string, line string")
+    plan = jsonl._merged(df, "line")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 2 and plan.count("variant_get") == 2
