@@ -22,6 +22,8 @@ TOP = 2000
 TRIGGER = 64
 # Different phrases a task holds before it passes their counts on.
 HELD_PHRASES = 1_000_000
+# Phrases that are summed together, at most, when they are counted by hash alone.
+RANGE_PHRASES = 2**22
 # Words of more bytes are hashed one by one.
 LONG_WORD = 1024
 BYTES_AT_ONCE = 2_000_000
@@ -211,16 +213,95 @@ def _counted(phrases: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return h[heads], check[heads], np.add.reduceat(n[order], heads), np.minimum.reduceat(chunk[order], heads)
 
 
+def _places(batch: Batch, sizes: tuple[int, ...], below: np.ndarray | None, below_size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of each size: the size, where the batch's own phrases begin that can be frequent, and their hashes."""
+    usual = marked(below, batch.hashes(below_size)) if below is not None else None
+    for size in sizes:
+        valid = batch.begins(size)
+        if usual is not None:
+            for shift in range(size - below_size + 1):
+                valid &= usual[shift : shift + len(valid)]
+        at = np.flatnonzero(valid)
+        yield size, at, batch.hashes(size)[at]
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, ascending, and the sum of each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[: len(keys)]
+    return keys[heads], np.add.reduceat(n[order], heads) if len(keys) else n
+
+
+def often(
+    dictionary: DataFrame,
+    sizes: tuple[int, ...],
+    below: np.ndarray | None,
+    below_size: int,
+    min_count: int,
+    bits: int = MARK_BITS,
+) -> np.ndarray:
+    """Marks of the phrases that occur ``min_count`` times by 32 bits or more of their hash: all frequent ones and few others.
+
+    A task passes on, for each range of hashes, the low 32 bits of those it
+    has seen and how often, five bytes a phrase.  Ranges are as many as keep
+    the phrases of one to about ``RANGE_PHRASES``.
+    """
+    shared = dictionary.sparkSession.sparkContext.broadcast(below)
+    places = (dictionary.agg(F.sum("own")).first()[0] or 0) * len(sizes)
+    ranges = np.uint64(1 << max(6, (places // RANGE_PHRASES).bit_length()))
+    # No phrase needs to be counted beyond what is asked for.
+    kind = np.uint8 if min_count < 256 else np.int64
+
+    def packed(keys: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        range_of = (keys >> np.uint64(32)).astype(np.int64)
+        edges = np.flatnonzero(np.concatenate([[True], range_of[1:] != range_of[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
+        low, n = keys.astype("<u4"), np.minimum(n, min_count).astype(kind)
+        rows = [(int(range_of[i]), low[i:j].tobytes(), n[i:j].tobytes()) for i, j in zip(edges[:-1], edges[1:])]
+        return pd.DataFrame(rows, columns=["range", "low", "n"])
+
+    def seen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, new = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0
+        fresh: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in _batches(frames):
+            for _, at, hashes in _places(batch, sizes, shared.value, below_size):
+                fresh.append((hashes & ((ranges << np.uint64(32)) - np.uint64(1)), batch.weight[at]))
+                new += len(at)
+            if new > HELD_PHRASES:
+                held, fresh, new = _summed(*map(np.concatenate, zip(held, *fresh))), [], 0
+                if len(held[0]) > HELD_PHRASES:
+                    yield packed(*held)
+                    held = (held[0][:0], held[1][:0])
+        yield packed(*_summed(*map(np.concatenate, zip(held, *fresh))))
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        low = np.concatenate([np.frombuffer(x, "<u4") for x in rows["low"]])
+        n = np.concatenate([np.frombuffer(x, kind) for x in rows["n"]]).astype(np.int64)
+        keys, sums = _summed(low, n)
+        return pd.DataFrame({"h": keys[sums >= min_count].astype(np.int64)})
+
+    found = dictionary.mapInPandas(seen, "range long, low binary, n binary").groupBy("range").applyInPandas(add, "h long")
+    return mark_table(found, "h", bits)
+
+
 def counted_phrases(
-    dictionary: DataFrame, sizes: tuple[int, ...], below: np.ndarray | None, below_size: int, min_count: int
+    dictionary: DataFrame,
+    sizes: tuple[int, ...],
+    below: np.ndarray | None,
+    below_size: int,
+    min_count: int,
+    bits: int = MARK_BITS,
 ) -> DataFrame:
     """``h``, ``check``, ``a`` and a chunk's ``id`` of every phrase of one of ``sizes`` words with ``a >= min_count``.
 
     ``below`` marks the frequent phrases of ``below_size`` words: a phrase is
     counted only where all of those inside it are marked, which no frequent
-    phrase fails.  Phrases are told apart by 96 bits.
+    phrase fails.  Most long phrases are rare even so: those that ``often``
+    does not mark are not exchanged.  Phrases are told apart by 96 bits.
     """
-    shared = dictionary.sparkSession.sparkContext.broadcast(below)
+    context = dictionary.sparkSession.sparkContext
+    shared = context.broadcast(below)
+    known = context.broadcast(often(dictionary, sizes, below, below_size, min_count, bits) if below_size >= 2 else None)
 
     def given(phrases: tuple[np.ndarray, ...]) -> pd.DataFrame:
         return pd.DataFrame(dict(zip(("h", "check", "n", "id"), (phrases[0].view(np.int64), *phrases[1:]))))
@@ -229,14 +310,11 @@ def counted_phrases(
         held: list[tuple[np.ndarray, ...]] = []
         new = 0
         for batch in _batches(frames):
-            usual = marked(shared.value, batch.hashes(below_size)) if shared.value is not None else None
-            for size in sizes:
-                valid = batch.begins(size)
-                if usual is not None:
-                    for shift in range(size - below_size + 1):
-                        valid &= usual[shift : shift + len(valid)]
-                at = np.flatnonzero(valid)
-                held.append((batch.hashes(size)[at], batch.checks(size, at), batch.weight[at], batch.id[batch.chunk[at]]))
+            for size, at, hashes in _places(batch, sizes, shared.value, below_size):
+                if known.value is not None:
+                    here = marked(known.value, hashes)
+                    at, hashes = at[here], hashes[here]
+                held.append((hashes, batch.checks(size, at), batch.weight[at], batch.id[batch.chunk[at]]))
                 new += len(at)
             if new > HELD_PHRASES:
                 held, new = [_counted(held)], 0
@@ -266,7 +344,7 @@ def frequent_phrases(
         sizes = tuple(s for s in sizes if s <= max_words)
         if not sizes:
             break
-        counted = counted_phrases(dictionary, sizes, below, below_size, min_count)
+        counted = counted_phrases(dictionary, sizes, below, below_size, min_count, bits)
         below, below_size = mark_table(counted, "h", bits), sizes[-1]
         found = counted if found is None else found.unionByName(counted)
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

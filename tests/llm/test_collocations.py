@@ -132,3 +132,20 @@ def test_long_monotone_and_awkward_texts(llm):
     check(llm, rows, 2)
     assert co.collocations(documents(llm, rows).limit(0)).count() == 0
     assert co.collocations(documents(llm, odd_rows()), min_count=10**6).count() == 0
+
+
+@pytest.mark.parametrize("min_count", [4, 300])
+def test_rare_long_phrases_are_not_exchanged(llm, monkeypatch, min_count):
+    """Of three words between frequent pairs, those that are frequent are marked and hardly any other."""
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 30, 400)) + " one two three", "en") for i in range(max(30, min_count))]
+    monkeypatch.setattr(co, "HELD_PHRASES", 500)
+    monkeypatch.setattr(co, "RANGE_PHRASES", 100)
+    dictionary = co.chunk_dictionary(documents(llm, rows), trigger=8)
+    seen = Counter(p for _, text, _ in rows for p in phrases(text) if len(p) == 3)
+    table = co.often(dictionary, (3,), None, 0, min_count)
+    batch = co.Batch(dictionary.toPandas())
+    at = np.flatnonzero(batch.begins(3))
+    marks = dict(zip((tuple(batch.phrase(i, 3).split()) for i in at.tolist()), co.marked(table, batch.hashes(3)[at]).tolist()))
+    assert set(marks) == set(seen) and all(marks[p] for p, n in seen.items() if n >= min_count)
+    assert sum(marks[p] for p, n in seen.items() if n < min_count) <= 2 < sum(n < min_count for n in seen.values())
