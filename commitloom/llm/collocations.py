@@ -296,12 +296,12 @@ def counted_phrases(
 
     ``below`` marks the frequent phrases of ``below_size`` words: a phrase is
     counted only where all of those inside it are marked, which no frequent
-    phrase fails.  Most long phrases are rare even so: those that ``often``
-    does not mark are not exchanged.  Phrases are told apart by 96 bits.
+    phrase fails.  Most phrases of two words or more are rare even so: those
+    that ``often`` does not mark are not exchanged.  Phrases are told apart by 96 bits.
     """
     context = dictionary.sparkSession.sparkContext
     shared = context.broadcast(below)
-    known = context.broadcast(often(dictionary, sizes, below, below_size, min_count, bits) if below_size >= 2 else None)
+    known = context.broadcast(often(dictionary, sizes, below, below_size, min_count, bits) if below is not None else None)
 
     def given(phrases: tuple[np.ndarray, ...]) -> pd.DataFrame:
         return pd.DataFrame(dict(zip(("h", "check", "n", "id"), (phrases[0].view(np.int64), *phrases[1:]))))

@@ -135,7 +135,7 @@ def test_long_monotone_and_awkward_texts(llm):
 
 
 @pytest.mark.parametrize("min_count", [4, 300])
-def test_rare_long_phrases_are_not_exchanged(llm, monkeypatch, min_count):
+def test_rare_phrases_are_not_exchanged(llm, monkeypatch, min_count):
     """Of three words between frequent pairs, those that are frequent are marked and hardly any other."""
     rng = np.random.default_rng(11)
     rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 30, 400)) + " one two three", "en") for i in range(max(30, min_count))]
