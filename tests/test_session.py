@@ -43,3 +43,11 @@ def test_settled_tables_lie_in_the_shared_folder(spark):
 
 def test_batches_for_python_are_small(spark):
     assert int(session.tune(spark).conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+
+
+@pytest.mark.parametrize(("rows", "join"), [(session.BROADCAST_ROWS, "BroadcastHashJoin"), (session.BROADCAST_ROWS + 1, "SortMergeJoin")])
+def test_rows_and_not_packed_bytes_tell_what_is_broadcast(spark, rows, join):
+    settled = session.settle(spark.range(rows).selectExpr("id", "0 as key"), "narrow")
+    met = spark.range(10_000_000).join(session.sized(settled), "id")
+    assert join in met._jdf.queryExecution().executedPlan().toString()
+    assert met.count() == rows
