@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitloom.operators.ranking import CHUNK_ROWS, number_in_group
-from commitloom.session import settle
+from commitloom.session import settle, sized
 
 _NODE = ["repo", "id"]
 # What stands for an age where there is none, and lies above all numbers of commits.
@@ -32,7 +32,7 @@ def _levels(firsts: DataFrame, join: Callable[[Column, Column], Column]) -> list
     first parents before them.  Cycles have all levels, of which there are no
     more than the commits allow.
     """
-    level = settle(firsts, "first-parents")
+    level = sized(settle(firsts, "first-parents"))
     left, levels = level.count(), []
     reach = 1
     while not level.isEmpty():
@@ -43,7 +43,7 @@ def _levels(firsts: DataFrame, join: Callable[[Column, Column], Column]) -> list
         here, there = level.alias("a"), level.alias("b")
         way = join(F.col("a.way"), F.col("b.way")).alias("way")
         met = here.join(there, F.col("a.to") == F.col("b.node"))
-        level = settle(met.select("a.node", F.col("b.to").alias("to"), way), "first-parents")
+        level = sized(settle(met.select("a.node", F.col("b.to").alias("to"), way), "first-parents"))
     return levels
 
 
@@ -70,18 +70,18 @@ def _spread(
     while True:
         for level in firsts:
             # Whoever has a key has passed it on to less than this jump: passing it on again reaches twice as far.
-            fresh = settle(_best(fresh, _moved(fresh, level, join)), "keys")
+            fresh = sized(settle(_best(fresh, _moved(fresh, level, join)), "keys"))
         if reached is not None:
             known = reached.withColumnRenamed("key", "_known")
             better = F.col("_known").isNull() | (F.col("key") < F.col("_known"))
-            fresh = settle(fresh.join(known, "node", "left").filter(better).drop("_known"), "keys")
-            reached = settle(_best(reached, fresh), "reached")
+            fresh = sized(settle(fresh.join(known, "node", "left").filter(better).drop("_known"), "keys"))
+            reached = sized(settle(_best(reached, fresh), "reached"))
         else:
             reached = fresh
         side = _moved(fresh, others, join).groupBy("node").agg(F.min("key").alias("key"))
         known = reached.withColumnRenamed("key", "_known")
         better = F.col("_known").isNull() | (F.col("key") < F.col("_known"))
-        fresh = settle(side.join(known, "node", "left").filter(better).drop("_known"), "keys")
+        fresh = sized(settle(side.join(known, "node", "left").filter(better).drop("_known"), "keys"))
         if fresh.isEmpty():
             return reached
 
@@ -117,13 +117,13 @@ def _graph(
     named = nodes.select(*_NODE, "node", F.posexplode("parents").alias("nth", "_parent")).filter("id <> _parent").drop("id")
     edges = settle(named.join(target, ["repo", "_parent"]).select("node", "nth", "to", "way"), "edges")
     first = edges.filter("nth = 0").select("node", "to", "way")
-    others = settle(edges.filter("nth > 0").select("node", "to", "way").distinct(), "other-parents")
+    others = sized(settle(edges.filter("nth > 0").select("node", "to", "way").distinct(), "other-parents"))
     heads = refs.select("repo", F.col("commit_id").alias("id")).distinct()
     heads = heads.join(nodes.select(*_NODE, "node", F.array(entry).alias("key")), _NODE)
     if lead is not None:
         heads = heads.join(heads.groupBy("repo").agg(F.min("node").alias("_first")), "repo")
         heads = heads.withColumn("key", F.concat(F.array(lead), "key"))
-    return _spread(settle(heads.select("node", "key"), "heads"), _levels(first, join), others, join)
+    return _spread(sized(settle(heads.select("node", "key"), "heads")), _levels(first, join), others, join)
 
 
 def reachable_commits(commits: DataFrame, refs: DataFrame) -> DataFrame:

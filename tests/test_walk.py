@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from commitloom import session
 from commitloom.operators import walk
 
 START = datetime(2020, 1, 1)
@@ -119,6 +120,25 @@ def test_only_numbers_travel_along_the_edges(spark, monkeypatch):
     assert not [label for label, schema in written.items() if label != "commits" and "string" in schema]
 
 
+def test_many_keys_are_not_broadcast(spark, monkeypatch):
+    """However little their files take: reached commits share one key, and numbers that rise are packed to next to nothing."""
+    monkeypatch.setattr(session, "BROADCAST_ROWS", -1, raising=False)
+    plans, settle = [], walk.settle
+
+    def kept(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return settle(df, label)
+
+    monkeypatch.setattr(walk, "settle", kept)
+    rows = [("r", f"{i:03d}", i, [f"{i - 1:03d}"] if i else []) for i in range(100)] + [("r", "top", 200, ["099", "050"])]
+    commits, refs = frames(spark, rows, [("r", "top")])
+    found = walk.reachable_commits(commits, refs)
+    last = found._jdf.queryExecution().executedPlan().toString()
+    joins = [plan for label, plan in [*plans, ("last", last)] if label in ("first-parents", "keys", "reached", "last") and "Join" in plan]
+    assert len(joins) > 5 and not any("BroadcastHashJoin" in plan for plan in joins)
+    assert found.count() == 101
+
+
 def test_commits_of_one_instant_go_by_id_in_every_repository(spark):
     commits = [(repo, c, t, ["z"] if c != "z" else []) for repo in ("p", "q", "r") for c, t in (("z", None), ("y", 1), ("x", 1), ("w", 1))]
     heads = [(repo, c) for repo in ("p", "q", "r") for c in ("w", "x", "y")]
