@@ -73,3 +73,22 @@ def test_facts_come_after_diffs(spark, monkeypatch):
     (row,) = plan.commit_records(commits, patches, files).collect()
     assert (row["commit_msg"], row["change"], row["code_style"], row["affected_files"]) == ("Add it", "+1", "style", ["n", "o"])
     assert "change" in given[0]
+
+
+def test_diffs_and_records_are_settled_one_after_the_other(spark, tmp_path, monkeypatch):
+    """The last plan has no patches any more, only records and facts."""
+    from commitloom.plans import commit_records
+
+    labels, write = [], commit_records.settle
+    monkeypatch.setattr(commit_records, "settle", lambda df, label: labels.append(label) or write(df, label))
+    commits = spark.sql(
+        "select 'r' as repo, concat('c', id) as commit_id, timestamp'2020-01-01' as committed_at, 1 as n_parents, 'dev' as author_name,"
+        " concat('change ', id) as message from range(4)"
+    )
+    path = str(tmp_path / "patches")
+    spark.sql("select 'r' as repo, concat('c', id) as commit_id, 0 as patch_idx, 'n' as new_path, 'n' as old_path, 'text' as patch_text from range(3)").write.parquet(path)
+    files = spark.createDataFrame([("r", "CONTRIBUTING.md", "style")], "repo string, path string, content string")
+    records = commit_records.commit_records(commits, spark.read.parquet(path), files)
+    assert labels == ["kept-commits", "diffs", "records"] and not [f for f in records.inputFiles() if f.startswith(f"file:{path}")]
+    got = {r["commit_id"]: (r["change"], r["affected_files"], r["code_style"]) for r in records.collect()}
+    assert got == {**{f"c{i}": ("text", ["n"], "style") for i in range(3)}, "c3": ("", [], "style")}

@@ -1,5 +1,6 @@
 """Where cut lineage goes."""
 
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -51,3 +52,20 @@ def test_rows_and_not_packed_bytes_tell_what_is_broadcast(spark, rows, join):
     met = spark.range(10_000_000).join(session.sized(settled), "id")
     assert join in met._jdf.queryExecution().executedPlan().toString()
     assert met.count() == rows
+
+
+def test_what_was_shuffled_for_a_settled_table_is_freed(spark):
+    """With the end of the write; other executions keep their files."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {block for block in disk.getAllBlocks().mkString(" ").split() if block.startswith("shuffle_")}
+
+    spark.range(1000).repartition(3, "id").write.format("noop").mode("overwrite").save()
+    before = shuffled()
+    df = session.settle(spark.range(1000).repartition(3, "id"), "shuffled")
+    until = time.time() + 20
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert before and not left and df.count() == 1000
+    assert spark.conf.get(session._FREED) == "false"
